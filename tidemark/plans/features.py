@@ -48,19 +48,32 @@ def rsi_from_means(avg_gain, avg_loss, digits: int = 2):
 
 
 def with_rsi(x: DataFrame, keys: Sequence[str], delta: str, start, block_rows: int,
-             out: str = "rsi_14", period: int = RSI_PERIOD) -> DataFrame:
+             out: str = "rsi_14", period: int = RSI_PERIOD, keep_means: bool = False,
+             seed_gain=None, seed_loss=None) -> DataFrame:
     """RSI over home rows of a halo-block frame that carry ``delta``.
 
-    ``start`` is the first position of the RSI's series; its delta does not
-    count (the series has no earlier row), the next one seeds the means.
+    ``start`` (int or Column) is the first position of the RSI's series; its
+    delta does not count (the series has no earlier row), the next one seeds
+    the means. With ``seed_gain``/``seed_loss`` (Columns, NULL where absent)
+    the means instead start *at* ``start`` from those carried values.
+    ``keep_means`` keeps ``_avg_gain``/``_avg_loss`` for a state table.
     """
     gain, loss = gain_loss(F.col(delta))
-    x = x.withColumn("_gain", gain).withColumn("_loss", loss)
-    seed = (F.col(start) if isinstance(start, str) else F.lit(start)) + 1
+    start_c = F.col(start) if isinstance(start, str) else (
+        F.lit(start) if isinstance(start, int) else start)
+    seed = start_c + 1
+    if seed_gain is not None:
+        carried = seed_gain.isNotNull()
+        at_start = F.col(P.POS) == start_c
+        gain = F.when(carried & at_start, seed_gain).otherwise(gain)
+        loss = F.when(carried & at_start, seed_loss).otherwise(loss)
+        seed = F.when(carried, start_c).otherwise(seed)
+    x = x.withColumn("_gain", gain).withColumn("_loss", loss).withColumn("_seed", seed)
     x = ewm(x, keys, {"_avg_gain": "_gain", "_avg_loss": "_loss"}, com=period - 1,
-            seed_pos=seed, block_rows=block_rows)
-    return (x.withColumn(out, rsi_from_means(F.col("_avg_gain"), F.col("_avg_loss")))
-             .drop("_gain", "_loss", "_avg_gain", "_avg_loss"))
+            seed_pos=F.col("_seed"), block_rows=block_rows)
+    x = x.withColumn(out, rsi_from_means(F.col("_avg_gain"), F.col("_avg_loss")))
+    drop = ["_gain", "_loss", "_seed"] + ([] if keep_means else ["_avg_gain", "_avg_loss"])
+    return x.drop(*drop)
 
 
 def windowed(candles: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -94,10 +107,23 @@ def build_features(candles: DataFrame, keys: Sequence[str] = ("series",),
     keys, order = list(keys), list(order)
     time = order[0]
     x = windowed(candles, keys, order, clean, block_rows, bucket_unit)
-    if trim:
-        x = x.filter((F.col(P.POS) >= TRIM) & F.col("lag_24").isNotNull()
-                     & F.col("returns").isNotNull() & F.col("volatility_24").isNotNull())
     x = with_rsi(x, keys, "_delta", TRIM if trim else 0, block_rows)
+    if trim:
+        x = trim_rows(x)
+    return feature_projection(x, keys, order, keep_position)
+
+
+def trim_rows(x: DataFrame) -> DataFrame:
+    """Rows with a full 24-row history (the reference's not-null filters)."""
+    return x.filter((F.col(P.POS) >= TRIM) & F.col("lag_24").isNotNull()
+                    & F.col("returns").isNotNull() & F.col("volatility_24").isNotNull())
+
+
+def feature_projection(x: DataFrame, keys: Sequence[str], order: Sequence[str],
+                       keep_position: bool = False) -> DataFrame:
+    """Keys, extra order columns, then the 20 feature columns in order."""
+    keys, order = list(keys), list(order)
+    time = order[0]
     parts = time_parts(time)
     out = x.select(
         *keys, *[c for c in order if c != time and c not in FEATURE_COLUMNS],
