@@ -52,7 +52,7 @@ def candle_shape(ticks: DataFrame, keys: Sequence[str] = ("series",),
     The previous price is a lag over halo blocks, so a long series is not one task.
     """
     x = P.halo_blocks(P.with_position(ticks, keys, order, bucket_unit=bucket_unit,
-                                      with_length=False), block_rows, back=1)
+                                      with_length=False), keys, block_rows, back=1)
     w = P.block_window(keys)
     prev = F.lag(price, 1).over(w)
     x = P.home_rows(x.withColumn("_prev", prev), block_rows)
@@ -76,7 +76,7 @@ def growth_index(df: DataFrame, keys: Sequence[str] = ("series",),
     totals), so no window spans a whole series.
     """
     x = P.halo_blocks(P.with_position(df, keys, order, bucket_unit=bucket_unit,
-                                      with_length=False), block_rows, back=1)
+                                      with_length=False), keys, block_rows, back=1)
     prev = F.lag(close, 1).over(P.block_window(keys))
     x = P.home_rows(x.withColumn("_lr", F.coalesce(F.ln(F.try_divide(F.col(close), prev)),
                                                      F.lit(0.0))), block_rows)

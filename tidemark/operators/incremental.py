@@ -106,7 +106,7 @@ def append_candles(existing: DataFrame, new: DataFrame, state: DataFrame,
     x = P.with_position(both, keys, order, with_length=False)
     x = x.join(offs, keys, "left").withColumn(
         P.POS, F.col(P.POS) + F.coalesce(F.col("_off"), F.lit(0)))
-    x = P.halo_blocks(x, block_rows, back=MAX_LOOKBACK)
+    x = P.halo_blocks(x, keys, block_rows, back=MAX_LOOKBACK)
     w = P.block_window(keys)
     win = feature_columns(w)
     x = x.select("*", *[c.alias(n) for n, c in win.items()], price_delta(w).alias("_delta"))

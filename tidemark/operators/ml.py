@@ -45,7 +45,7 @@ def with_target(features: DataFrame, keys: Sequence[str] = ("series",),
     keys, order = list(keys), list(order)
     time = order[0]
     x = P.with_position(features, keys, order, bucket_unit=bucket_unit, with_length=False)
-    x = P.halo_blocks(x, block_rows, back=0, fwd=1)
+    x = P.halo_blocks(x, keys, block_rows, back=0, fwd=1)
     w = P.block_window(keys)
     x = x.select("*", F.lead(close, 1).over(w).alias("target"),
                  F.lead(time, 1).over(w).alias("target_time"))

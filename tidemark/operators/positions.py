@@ -43,21 +43,33 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   bucket: Column | None = None, bucket_unit: str = "day",
-                  with_length: bool = True) -> DataFrame:
+                  with_length: bool = True, prepare=None, materialize: bool = True) -> DataFrame:
     """Add ``_pos`` (0-based position in the series by ``order``) and ``_n``.
 
     ``bucket`` groups rows for numbering; by default the first order column
     truncated to ``bucket_unit``. It must be monotone in ``order`` (a coarser
     copy of it), so buckets are contiguous runs of the series.
+
+    ``prepare`` (optional) runs on the rows right after the (keys, bucket)
+    exchange, e.g. a de-duplication partitioned by (keys, ``_bkt``, order), so
+    it shares that shuffle. The numbered rows are written once (``materialize``)
+    because they feed both the bucket counts and the final join; pass
+    ``materialize=False`` when ``df`` is already a cheap scan.
     """
+    from tidemark.sources.sinks import stage
+
     keys, order = list(keys), list(order)
     if bucket is None:
         bucket = F.date_trunc(bucket_unit, F.col(order[0]))
-    x = df.withColumn(BKT, bucket)
+    x = df.withColumn(BKT, bucket).repartition(*keys, BKT)
+    if prepare is not None:
+        x = prepare(x)
     w = Window.partitionBy(*keys, BKT).orderBy(*order)
-    x = x.withColumn("_rn", F.row_number().over(w) - 1)
-
-    counts = x.groupBy(*keys, BKT).agg(F.count(F.lit(1)).alias("_bn"))
+    x = x.select("*", (F.row_number().over(w) - 1).alias("_rn"),
+                 F.count(F.lit(1)).over(Window.partitionBy(*keys, BKT)).alias("_bn"))
+    if materialize:
+        x = stage(x, "numbered")
+    counts = x.groupBy(*keys, BKT).agg(F.max("_bn").alias("_bn"))
     by_key = Window.partitionBy(*keys).orderBy(BKT)
     offsets = counts.select(
         *keys, BKT,
@@ -66,10 +78,10 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         *([F.sum("_bn").over(Window.partitionBy(*keys)).alias(SLEN)] if with_length else []),
     )
     out = x.join(offsets, [*keys, BKT]).withColumn(POS, F.col("_off") + F.col("_rn"))
-    return out.drop("_rn", "_off", BKT)
+    return out.drop("_rn", "_off", "_bn", BKT)
 
 
-def halo_blocks(df: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS,
+def halo_blocks(df: DataFrame, keys: Sequence[str], block_rows: int = DEFAULT_BLOCK_ROWS,
                 back: int = 0, fwd: int = 0) -> DataFrame:
     """Emit each positioned row to every block whose frames reach it.
 
@@ -81,7 +93,10 @@ def halo_blocks(df: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS,
     p = F.col(POS)
     lo = F.greatest(F.floor((p - fwd) / block_rows), F.lit(0)).cast("bigint")
     hi = F.floor((p + back) / block_rows).cast("bigint")
-    return df.withColumn(BLK, F.explode(F.sequence(lo, hi)))
+    out = df.withColumn(BLK, F.explode(F.sequence(lo, hi)))
+    # The block exchange is explicit so that every consumer of the block
+    # layout (windows, block-end aggregates, carry joins) shares it.
+    return out.repartition(*keys, BLK)
 
 
 def home_block(block_rows: int) -> Column:

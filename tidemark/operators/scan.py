@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.positions import BLK, POS
+from tidemark.sources.sinks import stage
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], value: str, out: str,
@@ -34,13 +35,13 @@ def running_sum(df: DataFrame, keys: Sequence[str], value: str, out: str,
     keys = list(keys)
     v = F.coalesce(F.col(value), F.lit(0.0))
     w = Window.partitionBy(*keys, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumn("_local", F.sum(v).over(w))
-    totals = df.groupBy(*keys, BLK).agg(F.sum(v).alias("_tot"))
+    local = stage(df.withColumn("_v", v).withColumn("_local", F.sum("_v").over(w)), "runsum")
+    totals = local.groupBy(*keys, BLK).agg(F.sum("_v").alias("_tot"))
     by_key = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, BLK, F.sum("_tot").over(by_key).alias("_carry"))
     return (local.join(carry, [*keys, BLK], "left")
                  .withColumn(out, F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0.0)))
-                 .drop("_local", "_carry"))
+                 .drop("_local", "_carry", "_v"))
 
 
 def carry_blocks(com: float, block_rows: int) -> int:
@@ -78,10 +79,10 @@ def ewm(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
     shrink = F.pow(F.lit(d), off)                        # d^(p-s)
     w = Window.partitionBy(*keys, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
 
-    x = df
-    for o, c in inputs.items():
-        term = F.coalesce(weight * F.col(c), F.lit(0.0)) * grow
-        x = x.withColumn(f"_L_{o}", shrink * F.sum(term).over(w))
+    local = [(shrink * F.sum(F.coalesce(weight * F.col(c), F.lit(0.0)) * grow).over(w))
+             .alias(f"_L_{o}") for o, c in inputs.items()]
+    # The block-local scan feeds the block ends and the final rows: write it once.
+    x = stage(df.select("*", *local), "ewm")
 
     m = carry_blocks(com, block_rows)
     ends = (x.groupBy(*keys, BLK)

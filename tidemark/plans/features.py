@@ -84,9 +84,12 @@ def windowed(candles: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     Cleaning de-duplicates on (keys, order) and drops invalid prices."""
     keys, order = list(keys), list(order)
-    df = clean_candles(candles, keys, order) if clean else candles
-    x = P.with_position(df, keys, order, bucket_unit=bucket_unit, with_length=False)
-    x = P.halo_blocks(x, block_rows, back=MAX_LOOKBACK)
+    # Cleaning runs inside the numbering exchange: de-duplication is
+    # partitioned by (keys, bucket, order), which that exchange already gives.
+    prep = (lambda x: clean_candles(x, [*keys, P.BKT], order)) if clean else None
+    x = P.with_position(candles, keys, order, bucket_unit=bucket_unit, with_length=False,
+                        prepare=prep)
+    x = P.halo_blocks(x, keys, block_rows, back=MAX_LOOKBACK)
     w = P.block_window(keys)
     win = feature_columns(w)
     x = x.select("*", *[c.alias(n) for n, c in win.items()], price_delta(w).alias("_delta"))

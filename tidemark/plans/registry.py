@@ -516,8 +516,8 @@ FROM win"""))
 def lag_fallback(spark, sf):
     """Lag 24, or the oldest close when the history is shorter."""
     x = P.halo_blocks(P.with_position(CL.clean_candles(_candles(spark, sf)), ["series"],
-                                      ["open_time"], with_length=False), P.DEFAULT_BLOCK_ROWS,
-                      back=24)
+                                      ["open_time"], with_length=False), ["series"],
+                      P.DEFAULT_BLOCK_ROWS, back=24)
     w = P.block_window(["series"])
     first_w = w.rowsBetween(Window.unboundedPreceding, 0)
     x = x.select("*", lag_with_fallback(w, first_w, 24).alias("lag_24_fb"))
@@ -561,7 +561,7 @@ def ewm_mean(spark, sf):
     """Exponential mean (com = 9, non-adjusted) of tick prices as a block scan."""
     c = CL.clean_candles(_tick_candles(spark, sf), ["series"], TICK_ORDER)
     x = P.home_rows(P.halo_blocks(P.with_position(c, ["series"], TICK_ORDER, with_length=False),
-                                  P.DEFAULT_BLOCK_ROWS), P.DEFAULT_BLOCK_ROWS)
+                                  ["series"], P.DEFAULT_BLOCK_ROWS), P.DEFAULT_BLOCK_ROWS)
     x = ewm(x, ["series"], {"ewm": "close"}, com=EWM_COM, seed_pos=0,
             block_rows=P.DEFAULT_BLOCK_ROWS)
     return x.select("series", "open_time", "tick_id", "close", F.round("ewm", 6).alias("ewm"))

@@ -52,3 +52,25 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = DE
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """Table scan."""
     return spark.table(name)
+
+
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the session's checkpoint folder and
+    return a DataFrame reading it back.
+
+    Used where one intermediate feeds several consumers (bucket counts and
+    numbering, block ends and the block scan): Spark plans a DataFrame that is
+    used twice as two copies of its whole lineage, so without a written stage
+    the source would be scanned and shuffled once per consumer. The folder is
+    the shared one named by ``spark.checkpoint.dir`` (set only in local
+    sessions), so the files survive the loss of an executor.
+    """
+    import uuid
+
+    from tidemark.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tidemark-stage/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
