@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import cents
 from tidemark.operators import positions as P
@@ -32,8 +33,11 @@ def resample(ticks: DataFrame, freq: str = "hour", keys: Sequence[str] = ("serie
     a hot key costs one partial row per task before the shuffle.
     """
     order = F.struct(F.col(ts), F.col(tick_id))
+    start = candle_start(ts, freq)
+    if isinstance(ticks.schema[ts].dataType, T.TimestampNTZType):
+        start = start.cast("timestamp_ntz")       # date_trunc returns a zoned timestamp
     return (ticks
-            .groupBy(*keys, candle_start(ts, freq).alias("open_time"))
+            .groupBy(*keys, start.alias("open_time"))
             .agg(F.min_by(price, order).alias("open"),
                  F.max(price).alias("high"),
                  F.min(price).alias("low"),

@@ -15,23 +15,29 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from tidemark.functions.columns import cents
 from tidemark.operators.incremental import append_candles
 from tidemark.session import ensure_checkpoint_dir
 
 WATERMARK = "10 minutes"
+STATE_SCHEMA = T.StructType([
+    T.StructField("series", T.StringType()), T.StructField("last_pos", T.LongType()),
+    T.StructField("last_time", T.TimestampNTZType()), T.StructField("last_close", T.DoubleType()),
+    T.StructField("avg_gain", T.DoubleType()), T.StructField("avg_loss", T.DoubleType()),
+])
 CANDLE = "1 hour"
 
 
 def tick_stream(spark: SparkSession, source_dir: str, key: str = "event_type",
                 glob: str = "events.parquet", max_files: int | None = None) -> DataFrame:
-    schema = spark.read.parquet(os.path.join(source_dir, glob)).schema
+    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{glob}").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -56,8 +62,8 @@ def candle_stream(ticks: DataFrame, freq: str = CANDLE, watermark: str = WATERMA
 
 def stream_location(spark: SparkSession, name: str) -> str:
     """A folder for a stream's checkpoint/output under the shared checkpoint dir."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.replace("file:", ""), name)
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}"
 
 
 def run_available(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet") -> None:
@@ -77,13 +83,16 @@ class FeatureSink:
         self.keys = list(keys)
 
     def _path(self, what: str) -> str:
-        return os.path.join(self.base, what)
+        return f"{self.base.rstrip('/')}/{what}"
 
     def _read_before(self, spark: SparkSession, what: str, epoch: int, schema):
         path = self._path(what)
-        if not os.path.exists(path.replace("file:", "")):
+        with_epoch = T.StructType(schema.fields + [T.StructField("epoch", T.LongType())])
+        try:
+            df = spark.read.schema(with_epoch).parquet(path)
+            df.limit(1).count()             # the folder exists (first batch: it does not)
+        except AnalysisException:
             return spark.createDataFrame([], schema)
-        df = spark.read.schema(schema.add("epoch", "long")).parquet(path)
         return df.filter(F.col("epoch") < epoch).drop("epoch")
 
     def _write(self, df: DataFrame, what: str, epoch: int) -> None:
@@ -95,13 +104,9 @@ class FeatureSink:
         spark = batch.sparkSession
         if batch.isEmpty():
             return
-        from tidemark.operators.incremental import STATE_COLUMNS  # noqa: F401
         raw_schema = batch.schema
         stored = self._read_before(spark, "raw", epoch, raw_schema)
-        state_schema = ("series string, last_pos bigint, last_time timestamp_ntz, "
-                        "last_close double, avg_gain double, avg_loss double")
-        from pyspark.sql.types import _parse_datatype_string
-        state = self._read_before(spark, "state", epoch, _parse_datatype_string(state_schema))
+        state = self._read_before(spark, "state", epoch, STATE_SCHEMA)
         latest_state = _latest(state, self.keys)
         res = append_candles(stored, batch, latest_state, self.keys)
         self._write(batch, "raw", epoch)
@@ -122,7 +127,7 @@ def run_feature_stream(spark: SparkSession, source_dir: str, base: str,
     candles = candle_stream(tick_stream(spark, source_dir), keys=keys)
     sink = FeatureSink(base, keys)
     q = (candles.writeStream.outputMode("append")
-                .option("checkpointLocation", os.path.join(base, "_checkpoint"))
+                .option("checkpointLocation", f"{base}/_checkpoint")
                 .foreachBatch(sink).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "features")).drop("epoch")
+    return spark.read.parquet(f"{base}/features").drop("epoch")
