@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import positions as P
 from tidemark.operators.clean import clean_candles
-from tidemark.operators.windows import MAX_LOOKBACK, feature_columns, price_delta
+from tidemark.operators.windows import (CENTS, MAX_LOOKBACK, feature_columns, price_delta,
+                                        with_cents)
 from tidemark.plans.dashboard import last_rows
 from tidemark.plans.features import TRIM, feature_projection, trim_rows, windowed, with_rsi
 
@@ -106,11 +107,11 @@ def append_candles(existing: DataFrame, new: DataFrame, state: DataFrame,
     x = P.with_position(both, keys, order, with_length=False)
     x = x.join(offs, keys, "left").withColumn(
         P.POS, F.col(P.POS) + F.coalesce(F.col("_off"), F.lit(0)))
-    x = P.halo_blocks(x, keys, block_rows, back=MAX_LOOKBACK)
+    x = with_cents(P.halo_blocks(x, keys, block_rows, back=MAX_LOOKBACK))
     w = P.block_window(keys)
     win = feature_columns(w)
     x = x.select("*", *[c.alias(n) for n, c in win.items()], price_delta(w).alias("_delta"))
-    x = P.home_rows(x, block_rows)
+    x = P.home_rows(x, block_rows).drop(CENTS)
     # With a carried state the means continue from the last stored row;
     # otherwise the series is short and fully present, and RSI starts at TRIM.
     start = F.when(F.col("_sg").isNotNull(), F.col("last_pos")).otherwise(F.lit(TRIM))

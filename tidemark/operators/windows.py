@@ -28,10 +28,19 @@ def frame(w: Window, n: int) -> Window:
     return w.rowsBetween(-(n - 1), 0)
 
 
+CENTS = "_cents"   # integer cents of close, added once before the windows
+
+
+def with_cents(df, close: str = "close"):
+    """Add the integer-cent column the exact averages and deviations use."""
+    return df.withColumn(CENTS, cents(close))
+
+
 def moving_average(w: Window, n: int, close: str = "close") -> Column:
     """round(avg(close), 2) over the last n rows, exact: cent sums rounded
-    half-up in integer arithmetic. Partial frames at the start are kept."""
-    c = cents(close)
+    half-up in integer arithmetic. Partial frames at the start are kept.
+    Needs the ``_cents`` column (:func:`with_cents`)."""
+    c = F.col(CENTS)
     f = frame(w, n)
     return cents_mean(F.sum(c).over(f), F.count(c).over(f))
 
@@ -40,9 +49,9 @@ def rolling_std(w: Window, n: int, close: str = "close") -> Column:
     """round(sample stddev(close), 2) over the last n rows; NULL on one row.
 
     Computed from exact integer cent sums (n*S2 - S1^2) and one square root,
-    so it does not depend on summation order.
+    so it does not depend on summation order. Needs ``_cents``.
     """
-    c = cents(close)
+    c = F.col(CENTS)
     f = frame(w, n)
     k = F.count(c).over(f)
     s1 = F.sum(c).over(f)

@@ -18,7 +18,8 @@ from tidemark.functions.columns import (RSI_PERIOD, RSI_ZERO_LOSS, price_range,
 from tidemark.operators import positions as P
 from tidemark.operators.clean import clean_candles
 from tidemark.operators.scan import ewm
-from tidemark.operators.windows import MAX_LOOKBACK, LAGS, feature_columns, gain_loss, price_delta
+from tidemark.operators.windows import (CENTS, LAGS, MAX_LOOKBACK, feature_columns, gain_loss,
+                                        price_delta, with_cents)
 
 # Rows needed before the first feature row: lag_24 must exist.
 TRIM = max(LAGS)
@@ -89,11 +90,11 @@ def windowed(candles: DataFrame, keys: Sequence[str], order: Sequence[str],
     prep = (lambda x: clean_candles(x, [*keys, P.BKT], order)) if clean else None
     x = P.with_position(candles, keys, order, bucket_unit=bucket_unit, with_length=False,
                         prepare=prep)
-    x = P.halo_blocks(x, keys, block_rows, back=MAX_LOOKBACK)
+    x = with_cents(P.halo_blocks(x, keys, block_rows, back=MAX_LOOKBACK))
     w = P.block_window(keys)
     win = feature_columns(w)
     x = x.select("*", *[c.alias(n) for n, c in win.items()], price_delta(w).alias("_delta"))
-    return P.home_rows(x, block_rows)
+    return P.home_rows(x, block_rows).drop(CENTS)
 
 
 def build_features(candles: DataFrame, keys: Sequence[str] = ("series",),

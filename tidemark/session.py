@@ -42,6 +42,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
     )
+    if os.environ.get("TIDEMARK_EVENT_LOG"):
+        # Stage and task times for profiling, written to the scratch folder.
+        os.makedirs(os.path.join(scratch, "events"), exist_ok=True)
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                          .config("spark.eventLog.dir", os.path.join(scratch, "events")))
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
