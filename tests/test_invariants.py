@@ -11,7 +11,7 @@ from tidemark.operators import candles as C
 from tidemark.operators import incremental as INC
 from tidemark.operators import positions as P
 from tidemark.operators.scan import ewm
-from tidemark.operators.windows import feature_columns, with_cents
+from tidemark.operators.windows import feature_columns, with_cents, with_prefix
 from tidemark.plans.features import build_features
 from tidemark.sources.tables import order_ticks, ticks, ticks_as_candles
 
@@ -34,12 +34,12 @@ def test_halo_equals_plain_window(spark):
     """Bounded frames over halo blocks equal a plain per-series window."""
     src = ticks_as_candles(order_ticks(spark, SF001))
     plain_w = Window.partitionBy("series").orderBy(*ORDER)
-    plain = with_cents(src).select("series", "tick_id",
-                                   *[c.alias(n) for n, c in feature_columns(plain_w).items()])
+    plain = with_prefix(with_cents(src), plain_w).select(
+        "series", "tick_id", *[c.alias(n) for n, c in feature_columns(plain_w).items()])
     x = P.halo_blocks(P.with_position(src, ["series"], ORDER, with_length=False),
                       ["series"], 300, back=167)
     w = P.block_window(["series"])
-    halo = P.home_rows(with_cents(x).select(
+    halo = P.home_rows(with_prefix(with_cents(x), w).select(
         "*", *[c.alias(n) for n, c in feature_columns(w).items()]), 300)
     cols = ["series", "tick_id", *feature_columns(plain_w).keys()]
     a = _sorted(plain.select(*cols), ["tick_id"])

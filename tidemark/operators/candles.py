@@ -48,7 +48,7 @@ def resample(ticks: DataFrame, freq: str = "hour", keys: Sequence[str] = ("serie
 def candle_shape(ticks: DataFrame, keys: Sequence[str] = ("series",),
                  order: Sequence[str] = ("ts", "tick_id"), price: str = "price",
                  spread: float = 0.0, block_rows: int = P.DEFAULT_BLOCK_ROWS,
-                 bucket_unit: str = "day") -> DataFrame:
+                 bucket_unit: str = "auto") -> DataFrame:
     """Candle shape from a price path: open = previous price (the first row
     opens at its own price), high = max(open, close) + spread,
     low = min(open, close) - spread, all rounded to cents.
@@ -73,7 +73,7 @@ def candle_shape(ticks: DataFrame, keys: Sequence[str] = ("series",),
 def growth_index(df: DataFrame, keys: Sequence[str] = ("series",),
                  order: Sequence[str] = ("open_time",), close: str = "close",
                  base: float = 100.0, digits: int = 4,
-                 block_rows: int = P.DEFAULT_BLOCK_ROWS, bucket_unit: str = "day") -> DataFrame:
+                 block_rows: int = P.DEFAULT_BLOCK_ROWS, bucket_unit: str = "auto") -> DataFrame:
     """Compounded growth ``base * exp(sum of log returns so far)`` per series.
 
     The running sum is a block scan (local sums plus a carry of earlier block

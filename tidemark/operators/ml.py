@@ -39,7 +39,7 @@ TRAIN_FRACTION = 0.80
 
 def with_target(features: DataFrame, keys: Sequence[str] = ("series",),
                 order: Sequence[str] = ("open_time",), close: str = "close",
-                block_rows: int = P.DEFAULT_BLOCK_ROWS, bucket_unit: str = "day") -> DataFrame:
+                block_rows: int = P.DEFAULT_BLOCK_ROWS, bucket_unit: str = "auto") -> DataFrame:
     """Features + ``target`` (next row's close) and ``target_time``: a lead
     over halo blocks with one row of look-ahead."""
     keys, order = list(keys), list(order)
@@ -54,7 +54,7 @@ def with_target(features: DataFrame, keys: Sequence[str] = ("series",),
 
 def time_split(frame: DataFrame, keys: Sequence[str] = ("series",),
                order: Sequence[str] = ("open_time",), train_fraction: float = TRAIN_FRACTION,
-               bucket_unit: str = "day") -> DataFrame:
+               bucket_unit: str = "auto") -> DataFrame:
     """``split`` = train for the first ``floor(n * fraction)`` rows of each
     series by ``order``, test after; positions come from bucket counts, so no
     window spans a series. Never a random split."""
@@ -68,7 +68,7 @@ def time_split(frame: DataFrame, keys: Sequence[str] = ("series",),
 def model_frame(features: DataFrame, inputs: Sequence[str], keys: Sequence[str] = ("series",),
                 order: Sequence[str] = ("open_time",), close: str = "close",
                 train_fraction: float = TRAIN_FRACTION,
-                block_rows: int = P.DEFAULT_BLOCK_ROWS, bucket_unit: str = "day") -> DataFrame:
+                block_rows: int = P.DEFAULT_BLOCK_ROWS, bucket_unit: str = "auto") -> DataFrame:
     """Features + ``target``, ``target_time``, ``split`` (M1).
 
     Rows missing any input or the target are dropped first; the first

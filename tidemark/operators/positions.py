@@ -36,19 +36,50 @@ BLK = "_blk"     # block the row is evaluated in
 
 DEFAULT_BLOCK_ROWS = 4096
 
+# Numbering buckets: the coarsest unit whose fullest (series, bucket) stays
+# under TARGET_BUCKET_ROWS rows ("auto"), so a bucket is one bounded task and
+# the per-series table of bucket counts stays small.
+BUCKET_UNITS = ("day", "hour", "minute", "second")
+TARGET_BUCKET_ROWS = 2_000_000
+
+
+def choose_bucket_unit(df: DataFrame, keys: Sequence[str], time: str,
+                       target_rows: int = TARGET_BUCKET_ROWS) -> str:
+    """Pick the numbering bucket from the data.
+
+    One aggregation over (keys, time) only: rows per (key, minute), rolled up
+    to hours and days on the small result; three scalars reach the driver.
+    """
+    t = F.col(time)
+    per_min = df.groupBy(*keys, F.date_trunc("minute", t).alias("_m")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    per_hour = per_min.groupBy(*keys, F.date_trunc("hour", "_m").alias("_h")).agg(
+        F.sum("_n").alias("_n"), F.max("_n").alias("_max_min"))
+    per_day = per_hour.groupBy(*keys, F.date_trunc("day", "_h").alias("_d")).agg(
+        F.sum("_n").alias("_n"), F.max("_n").alias("_max_hour"),
+        F.max("_max_min").alias("_max_min"))
+    top = per_day.agg(F.max("_n"), F.max("_max_hour"), F.max("_max_min")).first()
+    if top is None or top[0] is None:
+        return "day"
+    for unit, most in zip(BUCKET_UNITS, top):
+        if most <= target_rows:
+            return unit
+    return "second"
+
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  bucket: Column | None = None, bucket_unit: str = "day",
+                  bucket: Column | None = None, bucket_unit: str = "auto",
                   with_length: bool = True, prepare=None, materialize: bool = True) -> DataFrame:
     """Add ``_pos`` (0-based position in the series by ``order``) and ``_n``.
 
     ``bucket`` groups rows for numbering; by default the first order column
-    truncated to ``bucket_unit``. It must be monotone in ``order`` (a coarser
-    copy of it), so buckets are contiguous runs of the series.
+    truncated to ``bucket_unit`` (``"auto"``: :func:`choose_bucket_unit`). It
+    must be monotone in ``order`` (a coarser copy of it), so buckets are
+    contiguous runs of the series.
 
     ``prepare`` (optional) runs on the rows right after the (keys, bucket)
     exchange, e.g. a de-duplication partitioned by (keys, ``_bkt``, order), so
@@ -60,6 +91,8 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     keys, order = list(keys), list(order)
     if bucket is None:
+        if bucket_unit == "auto":
+            bucket_unit = choose_bucket_unit(df, keys, order[0])
         bucket = F.date_trunc(bucket_unit, F.col(order[0]))
     x = df.withColumn(BKT, bucket).repartition(*keys, BKT)
     if prepare is not None:

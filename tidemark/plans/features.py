@@ -18,8 +18,8 @@ from tidemark.functions.columns import (RSI_PERIOD, RSI_ZERO_LOSS, price_range,
 from tidemark.operators import positions as P
 from tidemark.operators.clean import clean_candles
 from tidemark.operators.scan import ewm
-from tidemark.operators.windows import (CENTS, LAGS, MAX_LOOKBACK, feature_columns, gain_loss,
-                                        price_delta, with_cents)
+from tidemark.operators.windows import (CENTS, LAGS, MAX_LOOKBACK, PREFIX, feature_columns,
+                                        gain_loss, price_delta, with_cents, with_prefix)
 
 # Rows needed before the first feature row: lag_24 must exist.
 TRIM = max(LAGS)
@@ -79,7 +79,7 @@ def with_rsi(x: DataFrame, keys: Sequence[str], delta: str, start, block_rows: i
 
 def windowed(candles: DataFrame, keys: Sequence[str], order: Sequence[str],
              clean: bool = True, block_rows: int = P.DEFAULT_BLOCK_ROWS,
-             bucket_unit: str = "day") -> DataFrame:
+             bucket_unit: str = "auto") -> DataFrame:
     """Home rows with ``_pos``, ``_blk``, every bounded window column of the
     feature table and ``_delta`` (close - previous close); nothing trimmed.
 
@@ -90,16 +90,16 @@ def windowed(candles: DataFrame, keys: Sequence[str], order: Sequence[str],
     prep = (lambda x: clean_candles(x, [*keys, P.BKT], order)) if clean else None
     x = P.with_position(candles, keys, order, bucket_unit=bucket_unit, with_length=False,
                         prepare=prep)
-    x = with_cents(P.halo_blocks(x, keys, block_rows, back=MAX_LOOKBACK))
     w = P.block_window(keys)
+    x = with_prefix(with_cents(P.halo_blocks(x, keys, block_rows, back=MAX_LOOKBACK)), w)
     win = feature_columns(w)
     x = x.select("*", *[c.alias(n) for n, c in win.items()], price_delta(w).alias("_delta"))
-    return P.home_rows(x, block_rows).drop(CENTS)
+    return P.home_rows(x, block_rows).drop(CENTS, *PREFIX)
 
 
 def build_features(candles: DataFrame, keys: Sequence[str] = ("series",),
                    order: Sequence[str] = ("open_time",), clean: bool = True,
-                   block_rows: int = P.DEFAULT_BLOCK_ROWS, bucket_unit: str = "day",
+                   block_rows: int = P.DEFAULT_BLOCK_ROWS, bucket_unit: str = "auto",
                    trim: bool = True, keep_position: bool = False) -> DataFrame:
     """Candles -> the feature table, per series.
 
