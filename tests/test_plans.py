@@ -34,7 +34,6 @@ def test_tail_uses_group_limit(spark):
 
 def test_every_query_has_docstring_and_sql_or_reason():
     rows_only = set(R.QUERIES) - set(R.ORACLE)
-    assert rows_only <= {"linreg_predict", "predictions", "model_metrics", "dashboard_panels",
-                         "stream_features"}
+    assert rows_only <= {"linreg_predict", "predictions", "model_metrics"}
     for name, fn in R.QUERIES.items():
         assert fn.__doc__, name

@@ -44,7 +44,10 @@ def with_target(features: DataFrame, keys: Sequence[str] = ("series",),
     over halo blocks with one row of look-ahead."""
     keys, order = list(keys), list(order)
     time = order[0]
-    x = P.with_position(features, keys, order, bucket_unit=bucket_unit, with_length=False)
+    if P.POS in features.columns:
+        x = features          # positions kept from the feature plan: no renumbering
+    else:
+        x = P.with_position(features, keys, order, bucket_unit=bucket_unit, with_length=False)
     x = P.halo_blocks(x, keys, block_rows, back=0, fwd=1)
     w = P.block_window(keys)
     x = x.select("*", F.lead(close, 1).over(w).alias("target"),

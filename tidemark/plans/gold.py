@@ -6,8 +6,8 @@
                SQL-checked serving queries.
 
 The model frame is read three or four times (scaler, fit, predictions,
-scores). ``materialize`` checkpoints it once into the session's checkpoint
-folder so those reads do not re-run the feature plan and the lineage is cut.
+scores). ``materialize`` writes it once under the session's checkpoint folder
+so those reads do not re-run the feature plan and the lineage is cut.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import ml
 from tidemark.plans.features import MODEL_INPUTS
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.sinks import stage
 
 
 @dataclass
@@ -40,10 +40,7 @@ def new_run_id() -> str:
 def prepare(features: DataFrame, keys: Sequence[str] = ("series",),
             inputs: Sequence[str] = MODEL_INPUTS, materialize: bool = False, **kw) -> DataFrame:
     frame = ml.model_frame(features, inputs, keys, **kw)
-    if materialize:
-        ensure_checkpoint_dir(frame.sparkSession)
-        frame = frame.checkpoint(eager=True)
-    return frame
+    return stage(frame, "model_frame") if materialize else frame
 
 
 def run_ols(frame: DataFrame, keys: Sequence[str] = ("series",),

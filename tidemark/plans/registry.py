@@ -52,12 +52,18 @@ REDELIVER_FROM = "2024-01-19 12:00:00"
 RUN_AT = {"r1": "2024-02-01 00:00:00", "r2": "2024-02-01 01:00:00"}
 
 
+# Hourly candles have at most 24 rows per series and day, so day buckets are
+# always small enough for numbering; no sizing pass is needed.
+CANDLE_BUCKET = "day"
+
+
 def _candles(spark, sf):
     return C.resample(ticks(spark, sf))
 
 
-def _features(spark, sf):
-    return build_features(_candles(spark, sf))
+def _features(spark, sf, keep_position=False):
+    return build_features(_candles(spark, sf), bucket_unit=CANDLE_BUCKET,
+                          keep_position=keep_position)
 
 
 def _tick_candles(spark, sf, key="event_type"):
@@ -65,7 +71,9 @@ def _tick_candles(spark, sf, key="event_type"):
 
 
 def _frame(spark, sf, fraction=ml.TRAIN_FRACTION):
-    return ml.model_frame(_features(spark, sf), MODEL_INPUTS, train_fraction=fraction)
+    """Model frame, written once: scaler, fit, predictions and scores all read it."""
+    return G.prepare(_features(spark, sf, keep_position=True), train_fraction=fraction,
+                     materialize=True, bucket_unit=CANDLE_BUCKET)
 
 
 def _simple(spark, sf, run="r2", fraction=ml.TRAIN_FRACTION):
@@ -74,11 +82,11 @@ def _simple(spark, sf, run="r2", fraction=ml.TRAIN_FRACTION):
 
 
 def _ols(spark, sf):
-    return G.run_ols(G.prepare(_features(spark, sf), materialize=True), run_id="ols")
+    return G.run_ols(_frame(spark, sf), run_id="ols")
 
 
 def _untrimmed(spark, sf):
-    return windowed(_candles(spark, sf), ["series"], ["open_time"])
+    return windowed(_candles(spark, sf), ["series"], ["open_time"], bucket_unit=CANDLE_BUCKET)
 
 
 # ------------------------------------------------------------------------ SQL parts
@@ -266,7 +274,7 @@ SELECT series, count(*) AS rows_before,
 FROM tgt GROUP BY series"""))
 def ml_dropna(spark, sf):
     """Rows before/after dropping rows with a missing model input or target."""
-    t = ml.with_target(_features(spark, sf))
+    t = ml.with_target(_features(spark, sf, keep_position=True))
     return CL.dropna_report(t, [*MODEL_INPUTS, "target"], ["series"])
 
 
@@ -451,7 +459,7 @@ SELECT series, CAST(sum({_NANCELL}) AS BIGINT) AS missing_cells,
 FROM tgt GROUP BY series"""))
 def profile_nan_total(spark, sf):
     """Missing (NULL or NaN) cells over the model inputs and target."""
-    t = ml.with_target(_features(spark, sf))
+    t = ml.with_target(_features(spark, sf, keep_position=True))
     cols = [*MODEL_INPUTS, "target"]
     cell = sum((F.when(F.col(c).isNull() | F.isnan(F.col(c)), 1).otherwise(0) for c in cols),
                F.lit(0))
@@ -570,7 +578,7 @@ def ewm_mean(spark, sf):
 @query("ml_target", _sql(_FEAT + _mf(), "SELECT series, open_time, close, target, target_time FROM tgt"))
 def ml_target(spark, sf):
     """Next row's close (and time) as the target."""
-    return ml.with_target(_features(spark, sf)).select("series", "open_time", "close", "target",
+    return ml.with_target(_features(spark, sf, keep_position=True)).select("series", "open_time", "close", "target",
                                                        "target_time")
 
 
@@ -820,7 +828,15 @@ def chart_last_7d(spark, sf):
     return D.last_rows(p, 168).select("series", "open_time", "actual", "predicted")
 
 
-@query("dashboard_panels")
+@query("dashboard_panels", _sql(_SIMPLE + _BOUND + """,
+rf AS (SELECT f.* FROM features f JOIN bound b ON b.series = f.series WHERE f.open_time >= b.since),
+rp AS (SELECT p.* FROM preds p JOIN bound b ON b.series = p.series WHERE p.open_time >= b.since),
+avp AS (SELECT rf.series FROM rf LEFT JOIN rp
+        ON rp.series = rf.series AND rp.target_time = rf.open_time)""", """
+SELECT series, count(*) AS rows, 'actual_vs_predicted' AS panel FROM avp GROUP BY series
+UNION ALL SELECT series, count(*), 'rsi' FROM rf GROUP BY series
+UNION ALL SELECT series, count(*), 'volume' FROM rf GROUP BY series
+UNION ALL SELECT series, count(*), 'metrics' FROM metrics GROUP BY series"""))
 def dashboard_panels(spark, sf):
     """V9: the four dashboard panels; row count per panel and series."""
     g = _simple(spark, sf)

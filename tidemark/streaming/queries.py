@@ -20,9 +20,12 @@ def stream_candles(spark, sf):
     return spark.read.parquet(f"{loc}/out")
 
 
-@query("stream_features")
+@query("stream_features", O.with_(O.FEATURES, """
+SELECT series, open_time, close, ma_24, rsi_14 FROM features
+WHERE open_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""))
 def stream_features(spark, sf):
-    """Closed candles -> per-batch incremental features (rows-only check)."""
+    """Closed candles -> per-batch incremental features; windows look back
+    only, so they equal the batch features of the closed candles."""
     loc = S.stream_location(spark, f"stream-features-{uuid.uuid4().hex}")
     return S.run_feature_stream(spark, sf, loc).select(
         "series", "open_time", "close", "ma_24", "rsi_14")
