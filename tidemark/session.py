@@ -28,8 +28,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tidemark", scratch: str | None = None) -> SparkSession:
     """A local session for tests and benchmarks.
 
-    ``scratch`` holds the warehouse and the checkpoint folder; a fresh temp
-    folder is used when omitted. The Spark UI stays off.
+    ``scratch`` holds the warehouse, and the checkpoint folder when the
+    environment names none in ``spark.checkpoint.dir``; a fresh temp folder is
+    used when omitted. The Spark UI stays off.
     """
     scratch = scratch or tempfile.mkdtemp(prefix="tidemark-")
     builder = (
@@ -40,7 +41,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
-        .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
     )
     if os.environ.get("TIDEMARK_EVENT_LOG"):
         # Stage and task times for profiling, written to the scratch folder.
