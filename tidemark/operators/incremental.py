@@ -43,6 +43,7 @@ STATE_COLUMNS = ["last_pos", "last_time", "last_close", "avg_gain", "avg_loss"]
 class AppendResult:
     features: DataFrame      # feature rows of the appended candles
     state: DataFrame         # state per series after the append
+    appended: DataFrame      # the candles that were appended (cleaned, new only)
 
 
 def new_only(new: DataFrame, existing: DataFrame, keys: Sequence[str],
@@ -82,13 +83,18 @@ def append_candles(existing: DataFrame, new: DataFrame, state: DataFrame,
                    clean: bool = True, block_rows: int = P.DEFAULT_BLOCK_ROWS) -> AppendResult:
     """Feature rows for candles appended after ``existing``.
 
-    ``existing`` is the stored raw table, ``state`` the table from
-    :func:`feature_state` or a previous append. Work grows with the new rows
-    plus at most 167 history rows per touched series.
+    ``existing`` is the stored raw table, or just its last 167 rows per series
+    (:func:`history_tail`); ``state`` the table from :func:`feature_state` or a
+    previous append. Work grows with the new rows plus at most 167 history rows
+    per touched series.
     """
     keys, order = list(keys), list(order)
     time = order[0]
     fresh = new_only(clean_candles(new, keys, order) if clean else new, existing, keys, order)
+    # Only rows after the newest stored one extend a series; older ones are
+    # late (see late_rows) and need a rebuild from their time on.
+    fresh = (fresh.join(state.select(*keys, F.col("last_time").alias("_lt")), keys, "left")
+                  .filter(F.col("_lt").isNull() | (F.col(time) > F.col("_lt"))).drop("_lt"))
     touched = fresh.select(*keys).distinct()
     hist = last_rows(existing.join(touched, keys, "left_semi"), MAX_LOOKBACK, keys, order)
     cols = hist.columns
@@ -121,4 +127,10 @@ def append_candles(existing: DataFrame, new: DataFrame, state: DataFrame,
     new_state = touched_state.unionByName(
         state.join(touched_state.select(*keys), keys, "left_anti"))
     out = trim_rows(x.filter(F.col("_new")))
-    return AppendResult(feature_projection(out, keys, order), new_state)
+    return AppendResult(feature_projection(out, keys, order), new_state, fresh)
+
+
+def history_tail(existing: DataFrame, keys: Sequence[str] = ("series",),
+                 order: Sequence[str] = ("open_time",)) -> DataFrame:
+    """The last 167 rows per series: all an append needs from the past."""
+    return last_rows(existing, MAX_LOOKBACK, list(keys), list(order))

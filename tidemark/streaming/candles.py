@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from tidemark.functions.columns import cents
-from tidemark.operators.incremental import append_candles
+from tidemark.operators.incremental import append_candles, history_tail
 from tidemark.session import ensure_checkpoint_dir
 
 WATERMARK = "10 minutes"
@@ -75,8 +75,14 @@ def run_available(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "par
 
 
 class FeatureSink:
-    """``foreachBatch`` target that keeps raw candles, features and the
-    per-series state under ``base`` (one ``epoch=`` partition per batch)."""
+    """``foreachBatch`` target that appends each batch's closed candles.
+
+    Under ``base`` it keeps, one ``epoch=`` partition per batch: ``raw`` (the
+    appended candles), ``features``, ``state`` (per series) and ``tail`` (the
+    last 167 candles per series). A batch reads only the previous epoch's
+    state and tail, so its cost follows the batch and the number of series,
+    not the history.
+    """
 
     def __init__(self, base: str, keys: Sequence[str] = ("series",)):
         self.base = base
@@ -85,15 +91,18 @@ class FeatureSink:
     def _path(self, what: str) -> str:
         return f"{self.base.rstrip('/')}/{what}"
 
-    def _read_before(self, spark: SparkSession, what: str, epoch: int, schema):
+    def _read_previous(self, spark: SparkSession, what: str, epoch: int, schema):
+        """Rows of the newest epoch before ``epoch`` (empty before the first)."""
         path = self._path(what)
         with_epoch = T.StructType(schema.fields + [T.StructField("epoch", T.LongType())])
         try:
-            df = spark.read.schema(with_epoch).parquet(path)
-            df.limit(1).count()             # the folder exists (first batch: it does not)
-        except AnalysisException:
+            df = spark.read.schema(with_epoch).parquet(path).filter(F.col("epoch") < epoch)
+            last = df.agg(F.max("epoch")).first()[0]
+        except AnalysisException:           # nothing written yet
+            last = None
+        if last is None:
             return spark.createDataFrame([], schema)
-        return df.filter(F.col("epoch") < epoch).drop("epoch")
+        return df.filter(F.col("epoch") == last).drop("epoch")
 
     def _write(self, df: DataFrame, what: str, epoch: int) -> None:
         (df.withColumn("epoch", F.lit(epoch).cast("long")).write
@@ -104,20 +113,14 @@ class FeatureSink:
         spark = batch.sparkSession
         if batch.isEmpty():
             return
-        raw_schema = batch.schema
-        stored = self._read_before(spark, "raw", epoch, raw_schema)
-        state = self._read_before(spark, "state", epoch, STATE_SCHEMA)
-        latest_state = _latest(state, self.keys)
-        res = append_candles(stored, batch, latest_state, self.keys)
-        self._write(batch, "raw", epoch)
+        tail = self._read_previous(spark, "tail", epoch, batch.schema)
+        state = self._read_previous(spark, "state", epoch, STATE_SCHEMA)
+        res = append_candles(tail, batch, state, self.keys)
+        appended = res.appended.select(*batch.columns)
+        self._write(appended, "raw", epoch)
         self._write(res.features, "features", epoch)
         self._write(res.state, "state", epoch)
-
-
-def _latest(state: DataFrame, keys: Sequence[str]) -> DataFrame:
-    cols = [c for c in state.columns if c not in keys]
-    return (state.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("last_pos")).alias("_s"))
-                 .select(*keys, "_s.*"))
+        self._write(history_tail(tail.unionByName(appended), self.keys), "tail", epoch)
 
 
 def run_feature_stream(spark: SparkSession, source_dir: str, base: str,
