@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import positions as P
 from tidemark.operators.clean import clean_candles
-from tidemark.operators.windows import (CENTS, MAX_LOOKBACK, PREFIX, feature_columns,
+from tidemark.operators.windows import (CENTS, MAX_LOOKBACK, PREFIX, add_feature_columns,
                                         price_delta, with_cents, with_prefix)
 from tidemark.plans.dashboard import last_rows
 from tidemark.plans.features import TRIM, feature_projection, trim_rows, windowed, with_rsi
@@ -115,8 +115,7 @@ def append_candles(existing: DataFrame, new: DataFrame, state: DataFrame,
         P.POS, F.col(P.POS) + F.coalesce(F.col("_off"), F.lit(0)))
     w = P.block_window(keys)
     x = with_prefix(with_cents(P.halo_blocks(x, keys, block_rows, back=MAX_LOOKBACK)), w)
-    win = feature_columns(w)
-    x = x.select("*", *[c.alias(n) for n, c in win.items()], price_delta(w).alias("_delta"))
+    x = add_feature_columns(x, w, delta="_delta")
     x = P.home_rows(x, block_rows).drop(CENTS, *PREFIX)
     # With a carried state the means continue from the last stored row;
     # otherwise the series is short and fully present, and RSI starts at TRIM.

@@ -101,8 +101,45 @@ def lag_with_fallback(w: Window, first_w: Window, k: int, close: str = "close")
     return F.coalesce(F.lag(close, k).over(w), F.first(close).over(first_w))
 
 
+FEATURE_WINDOW_COLUMNS = ["returns", *[f"ma_{n}" for n in MA_PERIODS],
+                          f"volatility_{VOLATILITY_PERIOD}", *[f"lag_{k}" for k in LAGS]]
+
+
+def add_feature_columns(df, w: Window, close: str = "close", delta: str | None = "_delta"):
+    """Add the window columns of the feature table (and ``delta``) over ``w``.
+
+    Needs ``_cents`` and the running totals (:func:`with_cents`,
+    :func:`with_prefix`). Two steps: first the window functions alone (lags,
+    frame sums and counts) as plain columns, then the exact rounding as a
+    projection over those columns. Written inline, the rounding would repeat
+    each lag subtree several times per expression.
+    """
+    c = F.col(CENTS)
+    f = frame(w, VOLATILITY_PERIOD)
+    step1 = [F.lag(close, k).over(w).alias(f"lag_{k}") for k in LAGS]
+    for n in MA_PERIODS:
+        step1.append(_last(w, PREFIX[1], n).alias(f"_s{n}"))
+        step1.append(_last(w, PREFIX[0], n).alias(f"_k{n}"))
+    step1 += [F.count(c).over(f).alias("_vk"), F.sum(c).over(f).alias("_vs1"),
+              F.sum(c * c).over(f).alias("_vs2")]
+    x = df.select("*", *step1)
+    k, s1, s2 = F.col("_vk"), F.col("_vs1"), F.col("_vs2")
+    var_cents = F.try_divide(k * s2 - s1 * s1, k * (k - 1))
+    step2 = {
+        "returns": log_return(F.col(close), F.col("lag_1")),
+        **{f"ma_{n}": cents_mean(F.col(f"_s{n}"), F.col(f"_k{n}")) for n in MA_PERIODS},
+        f"volatility_{VOLATILITY_PERIOD}": F.when(k > 1, F.round(F.sqrt(var_cents) / 100.0, 2)),
+    }
+    if delta:
+        step2[delta] = F.col(close) - F.col("lag_1")
+    x = x.select("*", *[v.alias(name) for name, v in step2.items()])
+    tmp = [f"_s{n}" for n in MA_PERIODS] + [f"_k{n}" for n in MA_PERIODS] + ["_vk", "_vs1", "_vs2"]
+    return x.drop(*tmp)
+
+
 def feature_columns(w: Window, close: str = "close") -> dict[str, Column]:
-    """Window columns of the feature table, in the reference's order."""
+    """The same window columns as single expressions (simple uses; the table
+    builder uses :func:`add_feature_columns`)."""
     out = {"returns": log_return(F.col(close), F.lag(close, 1).over(w))}
     for n in MA_PERIODS:
         out[f"ma_{n}"] = moving_average(w, n, close)

@@ -18,7 +18,7 @@ from tidemark.functions.columns import (RSI_PERIOD, RSI_ZERO_LOSS, price_range,
 from tidemark.operators import positions as P
 from tidemark.operators.clean import clean_candles
 from tidemark.operators.scan import ewm
-from tidemark.operators.windows import (CENTS, LAGS, MAX_LOOKBACK, PREFIX, feature_columns,
+from tidemark.operators.windows import (CENTS, LAGS, MAX_LOOKBACK, PREFIX, add_feature_columns,
                                         gain_loss, price_delta, with_cents, with_prefix)
 
 # Rows needed before the first feature row: lag_24 must exist.
@@ -92,8 +92,7 @@ def windowed(candles: DataFrame, keys: Sequence[str], order: Sequence[str],
                         prepare=prep)
     w = P.block_window(keys)
     x = with_prefix(with_cents(P.halo_blocks(x, keys, block_rows, back=MAX_LOOKBACK)), w)
-    win = feature_columns(w)
-    x = x.select("*", *[c.alias(n) for n, c in win.items()], price_delta(w).alias("_delta"))
+    x = add_feature_columns(x, w, delta="_delta")
     return P.home_rows(x, block_rows).drop(CENTS, *PREFIX)
 
 

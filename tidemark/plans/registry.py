@@ -70,14 +70,15 @@ def _tick_candles(spark, sf, key="event_type"):
     return ticks_as_candles(ticks(spark, sf, key))
 
 
-def _frame(spark, sf, fraction=ml.TRAIN_FRACTION):
-    """Model frame, written once: scaler, fit, predictions and scores all read it."""
-    return G.prepare(_features(spark, sf, keep_position=True), train_fraction=fraction,
-                     materialize=True, bucket_unit=CANDLE_BUCKET)
+def _frame(spark, sf, fraction=ml.TRAIN_FRACTION, features=None):
+    """Model frame, written once: scaler, fit, predictions and scores all read it.
+    ``features`` (built with ``keep_position=True``) is reused when given."""
+    f = features if features is not None else _features(spark, sf, keep_position=True)
+    return G.prepare(f, train_fraction=fraction, materialize=True, bucket_unit=CANDLE_BUCKET)
 
 
-def _simple(spark, sf, run="r2", fraction=ml.TRAIN_FRACTION):
-    return G.run_simple(_frame(spark, sf, fraction), run_id=run,
+def _simple(spark, sf, run="r2", fraction=ml.TRAIN_FRACTION, features=None):
+    return G.run_simple(_frame(spark, sf, fraction, features), run_id=run,
                         created_at=F.to_timestamp(F.lit(RUN_AT[run])))
 
 
@@ -312,8 +313,8 @@ SELECT p.series, p.open_time, p.actual, p.predicted
 FROM preds p JOIN bound b ON b.series = p.series WHERE p.open_time >= b.since"""))
 def recent_30d_predictions(spark, sf):
     """Predictions within the bound taken from the feature table."""
-    f = _features(spark, sf)
-    g = _simple(spark, sf)
+    f = _features(spark, sf, keep_position=True)
+    g = _simple(spark, sf, features=f)
     return D.recent(g.predictions, D.recent_bound(f)).select("series", "open_time", "actual",
                                                              "predicted")
 
@@ -360,8 +361,8 @@ LEFT JOIN (SELECT p.* FROM preds p JOIN bound b ON b.series = p.series
   ON p.series = f.series AND p.target_time = f.open_time"""))
 def actual_vs_predicted(spark, sf):
     """Close overlaid with the prediction made for that hour."""
-    f = _features(spark, sf)
-    g = _simple(spark, sf)
+    f = _features(spark, sf, keep_position=True)
+    g = _simple(spark, sf, features=f)
     b = D.recent_bound(f)
     return D.actual_vs_predicted(D.recent(f, b), D.recent(g.predictions, b))
 
@@ -618,8 +619,9 @@ SELECT {_LATEST_COLS} FROM (
 WHERE rn = 1"""))
 def latest_metrics(spark, sf):
     """Newest metrics row per series across two runs."""
-    m1 = _simple(spark, sf, "r1", 0.7).metrics
-    m2 = _simple(spark, sf, "r2", 0.8).metrics
+    f = _features(spark, sf, keep_position=True)
+    m1 = _simple(spark, sf, "r1", 0.7, features=f).metrics
+    m2 = _simple(spark, sf, "r2", 0.8, features=f).metrics
     both = m1.unionByName(m2)
     return D.latest(both).select(*[c.strip() for c in _LATEST_COLS.split(",")])
 
@@ -839,8 +841,9 @@ UNION ALL SELECT series, count(*), 'volume' FROM rf GROUP BY series
 UNION ALL SELECT series, count(*), 'metrics' FROM metrics GROUP BY series"""))
 def dashboard_panels(spark, sf):
     """V9: the four dashboard panels; row count per panel and series."""
-    g = _simple(spark, sf)
-    d = D.run_dashboard(_features(spark, sf), g.predictions, g.metrics)
+    f = _features(spark, sf, keep_position=True)
+    g = _simple(spark, sf, features=f)
+    d = D.run_dashboard(f, g.predictions, g.metrics)
     parts = [("actual_vs_predicted", d.actual_vs_predicted), ("rsi", d.rsi),
              ("volume", d.volume), ("metrics", d.metrics)]
     out = None

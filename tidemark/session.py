@@ -21,6 +21,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Halo blocks hold 4,096 + 167 rows; keep a block in the window operator's
+    # in-memory buffer instead of its spillable fallback (default 4,096 rows).
+    "spark.sql.windowExec.buffer.in.memory.threshold": "16384",
 }
 
 
@@ -49,6 +52,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                           .config("spark.eventLog.dir", os.path.join(scratch, "events")))
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
+    # Locally the shuffle partitions already equal the cores; coalescing them
+    # by bytes would leave window-heavy (CPU-bound, byte-light) stages on one
+    # or two cores.
+    builder = builder.config("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark, scratch)
