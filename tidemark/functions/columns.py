@@ -25,6 +25,21 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def q(name: str) -> str:
+    """A column name quoted for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_cols(exprs: dict[str, str]) -> list[Column]:
+    """Columns from SQL expression text, one per output name.
+
+    Long generated lists (cross products, dot products, per-input scaling)
+    are written this way: each column is one parse on the JVM instead of a
+    chain of Python-side Column calls, and the plan is the same.
+    """
+    return [F.expr(f"{e} AS {q(n)}") for n, e in exprs.items()]
+
+
 def cents(c: str | Column) -> Column:
     """A two-decimal price as exact integer cents (bigint)."""
     return F.round(col_(c) * 100).cast("bigint")
@@ -38,8 +53,8 @@ def half_up_div(num: Column, den: Column) -> Column:
     step can move a result across a half; the sign is put back after."""
     mag = F.abs(num)
     top = mag * 2 + den
-    q = ((top - F.pmod(top, den * 2)) / (den * 2)).cast("bigint")
-    return F.when(num < 0, -q).otherwise(q)
+    quot = ((top - F.pmod(top, den * 2)) / (den * 2)).cast("bigint")
+    return F.when(num < 0, -quot).otherwise(quot)
 
 
 def cents_mean(sum_cents: Column, n: Column) -> Column:

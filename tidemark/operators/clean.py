@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import is_valid_number
+from tidemark.functions.columns import is_valid_number, q
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
@@ -45,10 +45,9 @@ def clean_candles(df: DataFrame, keys: Sequence[str] = ("series",),
 
 def null_mask(columns: Sequence[str]):
     """Column true when any of ``columns`` is NULL or NaN (numeric)."""
-    cond = F.lit(False)
-    for c in columns:
-        cond = cond | F.col(c).isNull() | F.isnan(F.col(c))
-    return cond
+    if not columns:
+        return F.lit(False)
+    return F.expr(" OR ".join(f"{q(c)} IS NULL OR isnan({q(c)})" for c in columns))
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import q, sql_cols
 from tidemark.operators import positions as P
 from tidemark.operators.clean import drop_incomplete
 
@@ -85,10 +86,11 @@ def model_frame(features: DataFrame, inputs: Sequence[str], keys: Sequence[str]
 def fit_scaler(frame: DataFrame, inputs: Sequence[str], keys: Sequence[str] = ("series",)) -> DataFrame:
     """Per series: training mean and population std of each input."""
     train = frame.filter(F.col("split") == "train")
-    aggs = []
+    aggs = {}
     for c in inputs:
-        aggs += [F.avg(c).alias(f"mean_{c}"), F.stddev_pop(c).alias(f"std_{c}")]
-    return train.groupBy(*keys).agg(*aggs)
+        aggs[f"mean_{c}"] = f"avg({q(c)})"
+        aggs[f"std_{c}"] = f"stddev_pop({q(c)})"
+    return train.groupBy(*keys).agg(*sql_cols(aggs))
 
 
 def standardize(frame: DataFrame, scaler: DataFrame, inputs: Sequence[str],
@@ -96,13 +98,13 @@ def standardize(frame: DataFrame, scaler: DataFrame, inputs: Sequence[str],
     """z = (x - mean) / std with the training statistics; a zero std scales
     by 1 (the column is constant on the training rows)."""
     j = frame.join(scaler, list(keys))
-    zs = []
+    zs = {}
     for c in inputs:
-        sd = F.col(f"std_{c}")
-        zs.append(((F.col(c) - F.col(f"mean_{c}")) /
-                   F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias(c + suffix))
+        sd = q(f"std_{c}")
+        zs[c + suffix] = (f"({q(c)} - {q(f'mean_{c}')}) / "
+                          f"CASE WHEN {sd} = 0 THEN 1.0D ELSE {sd} END")
     keep = [c for c in frame.columns if c not in inputs or suffix]
-    return j.select(*keep, *zs)
+    return j.select(*keep, *sql_cols(zs))
 
 
 def _solve(n_inputs: int, keys: Sequence[str]):
@@ -136,13 +138,14 @@ def fit_ols(z: DataFrame, inputs: Sequence[str], keys: Sequence[str] = ("series"
     keys = list(keys)
     k = len(inputs)
     train = z.filter(F.col("split") == "train")
-    aggs = [F.count(F.lit(1)).alias("_n"), F.sum(target).alias("_sy")]
+    y = q(target)
+    aggs = {"_n": "count(1)", "_sy": f"sum({y})"}
     for i, c in enumerate(inputs):
-        aggs.append(F.sum(c).alias(f"_sz{i}"))
-        aggs.append(F.sum(F.col(c) * F.col(target)).alias(f"_zy{i}"))
+        aggs[f"_sz{i}"] = f"sum({q(c)})"
+        aggs[f"_zy{i}"] = f"sum({q(c)} * {y})"
         for j in range(i, k):
-            aggs.append(F.sum(F.col(c) * F.col(inputs[j])).alias(f"_zz{i}_{j}"))
-    sums = train.groupBy(*keys).agg(*aggs)
+            aggs[f"_zz{i}_{j}"] = f"sum({q(c)} * {q(inputs[j])})"
+    sums = train.groupBy(*keys).agg(*sql_cols(aggs))
     key_fields = [f for f in sums.schema.fields if f.name in keys]
     schema = T.StructType(key_fields + [T.StructField("intercept", T.DoubleType())]
                           + [T.StructField(f"coef_{i}", T.DoubleType()) for i in range(k)]
@@ -151,10 +154,10 @@ def fit_ols(z: DataFrame, inputs: Sequence[str], keys: Sequence[str] = ("series"
 
 
 def linear_prediction(coef_prefix: str, inputs: Sequence[str]) -> Column:
-    expr = F.col("intercept")
-    for i, c in enumerate(inputs):
-        expr = expr + F.col(f"{coef_prefix}{i}") * F.col(c)
-    return expr
+    """intercept + sum of coef_i * input_i, added left to right."""
+    terms = [q("intercept")] + [f"{q(f'{coef_prefix}{i}')} * {q(c)}"
+                                for i, c in enumerate(inputs)]
+    return F.expr(" + ".join(terms))
 
 
 def predict(z: DataFrame, model: DataFrame, inputs: Sequence[str],
