@@ -199,8 +199,13 @@ def growth_index(spark, sf):
 
 
 def _roundtrip_name(spark, name):
+    """A fresh table per call: a fixed name would clash with a location left
+    in the warehouse by another session, and a later call would overwrite the
+    table an earlier (lazy) result still reads."""
+    import uuid
+
     sinks.create_namespaces(spark, ["bronze"])
-    return f"bronze.{name}"
+    return f"bronze.{name}_{uuid.uuid4().hex[:12]}"
 
 
 @query("sink_overwrite_roundtrip", _sql(_C, "SELECT * FROM candles"))
