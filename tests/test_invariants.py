@@ -99,3 +99,26 @@ def test_two_appends_equal_rebuild(spark):
     a = _sorted(r2.features, ["series", "open_time"])
     b = _sorted(build_features(c).filter(F.col("open_time") >= t2), ["series", "open_time"])
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_sql_text_columns_match_column_api(spark):
+    """SQL-text expression lists (OLS sums, scaling, null masks) quote odd
+    names and give the same values as the Column API."""
+    from tidemark.functions.columns import sql_cols
+    from tidemark.operators.clean import null_mask
+    from tidemark.operators.ml import linear_prediction
+
+    df = spark.createDataFrame(
+        [(1.0, 2.0, 0.5), (3.0, float("nan"), 1.5), (None, 4.0, 2.0)],
+        "`a b` double, `c``d` double, intercept double")
+    got = df.select(*sql_cols({"s": "`a b` * `c``d`", "odd`name": "`a b` + 1"}),
+                    null_mask(["a b", "c`d"]).alias("bad")).collect()
+    want = df.select((F.col("`a b`") * F.col("`c``d`")).alias("s"),
+                     (F.col("`a b`") + 1).alias("odd`name"),
+                     (F.col("`a b`").isNull() | F.isnan("`a b`") | F.col("`c``d`").isNull()
+                      | F.isnan("`c``d`")).alias("bad")).collect()
+    assert [tuple(map(str, r)) for r in got] == [tuple(map(str, r)) for r in want]
+    m = df.select("`a b`", F.lit(2.0).alias("coef_0"), F.lit(3.0).alias("coef_1"), "`c``d`",
+                  "intercept")
+    out = m.select(linear_prediction("coef_", ["a b", "c`d"]).alias("p")).collect()
+    assert out[0]["p"] == 0.5 + 2.0 * 1.0 + 3.0 * 2.0
