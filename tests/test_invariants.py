@@ -2,6 +2,7 @@
 scans = sequential pandas, incremental = full rebuild, streaming = batch."""
 
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -122,3 +123,35 @@ def test_sql_text_columns_match_column_api(spark):
                   "intercept")
     out = m.select(linear_prediction("coef_", ["a b", "c`d"]).alias("p")).collect()
     assert out[0]["p"] == 0.5 + 2.0 * 1.0 + 3.0 * 2.0
+
+
+def test_exact_medians_hot_key_matches_pandas(spark):
+    """Rank-based medians equal pandas' medians when one key holds most rows
+    and spans several range partitions (odd and even counts, NaN, NULL)."""
+    from tidemark.operators.clean import exact_medians, median_impute
+
+    rng = np.random.default_rng(7)
+    rows = []
+    for key, n in (("hot", 20001), ("even", 10), ("odd", 7), ("one", 1)):
+        for i in range(n):
+            a = float(rng.normal()) if i % 97 else float("nan")
+            b = float(rng.integers(0, 5)) if i % 13 else None
+            rows.append((key, i, a, b, None))
+    df = spark.createDataFrame(rows, "k string, i long, a double, b double, c double")
+    got = {r["k"]: r for r in exact_medians(df, ["a", "b", "c"], ["k"]).collect()}
+    pdf = df.toPandas()
+    for key, grp in pdf.groupby("k"):
+        if grp[["a", "b"]].dropna(how="all").empty:
+            assert key not in got  # no values: no median row (NULL after the join)
+            continue
+        for c in ("a", "b"):
+            want = grp[c].dropna().median()
+            med = got[key][f"_med_{c}"]
+            if np.isnan(want):
+                assert med is None, (key, c)
+            else:
+                assert med == pytest.approx(want, rel=0, abs=1e-12), (key, c)
+        assert got[key]["_med_c"] is None
+    filled = median_impute(df, ["a", "b", "c"], ["k"])
+    assert filled.count() == len(rows)
+    assert filled.filter((F.col("k") != "one") & (F.col("a").isNull() | F.isnan("a"))).count() == 0

@@ -65,18 +65,78 @@ def dropna_report(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
     )
 
 
+def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact median of each column per key (NULL and NaN skipped; the two
+    middle values interpolated for an even count, as SQL ``median``).
+
+    ``median`` keeps every distinct value of a group in one aggregation
+    buffer, so one key holding a large share of continuous values would hold
+    them all in one task. Here the values are found by rank instead:
+
+    1. The columns are unpivoted to (keys, column, value) and range
+       partitioned on that order, so a hot group spreads over many bounded
+       partitions. The tagged rows are written once (two readers).
+    2. Rows per (group, partition) give, over that small table, the
+       partition holding each middle rank and the rank within it.
+    3. Only those partitions are ranked (a window per group and partition,
+       at most one range partition of rows) and the two values are read off.
+
+    Returns one row per key with ``_med_<column>``.
+    """
+    from tidemark.sources.sinks import stage
+
+    keys, cols = list(keys), list(columns)
+    name, v, pid = "_col", "_v", "_pid"
+    cells = F.array(*[F.struct(F.lit(c).alias(name),
+                               F.when(~F.isnan(F.col(c)), F.col(c)).cast("double").alias(v))
+                      for c in cols])
+    long = (df.select(*keys, F.explode(cells).alias("_cell"))
+              .select(*keys, F.col(f"_cell.{name}").alias(name), F.col(f"_cell.{v}").alias(v))
+              .filter(F.col(v).isNotNull()))
+    g = [*keys, name]
+    # Partition ids after a range exchange are increasing in (g, v), also
+    # when AQE merges neighbouring partitions.
+    tagged = stage(long.repartitionByRange(*g, v).withColumn(pid, F.spark_partition_id()),
+                   "median_ranked")
+    counts = tagged.groupBy(*g, pid).agg(F.count(F.lit(1)).alias("_c"))
+    by_pid = Window.partitionBy(*g).orderBy(pid)
+    ranges = counts.select(
+        *g, pid, "_c",
+        F.coalesce(F.sum("_c").over(by_pid.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
+        F.sum("_c").over(Window.partitionBy(*g)).alias("_n"))
+    n = F.col("_n")
+    wanted = F.array(F.struct(F.lit(0).alias("_which"), F.floor((n - 1) / 2).alias("_rank")),
+                     F.struct(F.lit(1).alias("_which"), F.floor(n / 2).alias("_rank")))
+    need = (ranges.select(*g, pid, "_c", "_off", F.explode(wanted).alias("_w"))
+                  .select(*g, pid, F.col("_w._which").alias("_which"),
+                          (F.col("_w._rank") - F.col("_off")).alias("_r"), "_c")
+                  .filter((F.col("_r") >= 0) & (F.col("_r") < F.col("_c"))).drop("_c"))
+    parts = need.select(*g, pid).distinct()
+    ranked = (tagged.join(parts, [*g, pid], "left_semi")
+                    .select(*g, pid, v, (F.row_number().over(
+                        Window.partitionBy(*g, pid).orderBy(v)) - 1).alias("_r")))
+    picked = ranked.join(need, [*g, pid, "_r"])
+    lo = F.max(F.when(F.col("_which") == 0, F.col(v)))
+    hi = F.max(F.when(F.col("_which") == 1, F.col(v)))
+    med = picked.groupBy(*g).agg((lo + (hi - lo) * 0.5).alias("_med"))
+    # Back to one row per key: at most len(columns) rows per key.
+    wide = med.groupBy(*keys).agg(*[F.max(F.when(F.col(name) == c, F.col("_med"))).alias(f"_med_{c}")
+                                    for c in cols])
+    return wide
+
+
 def median_impute(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
                   exact: bool = True) -> DataFrame:
     """Fill NULL/NaN in ``columns`` with the column median per key.
 
-    ``exact`` uses ``median`` (partial aggregation of value counts, so memory
-    follows the number of distinct values); ``exact=False`` uses
-    ``percentile_approx`` with bounded memory for high-cardinality columns.
+    ``exact`` finds the medians by rank (:func:`exact_medians`, bounded
+    memory per task however large one key is); ``exact=False`` uses
+    ``percentile_approx`` (one pass, bounded sketch per key).
 
-    The medians come from one grouped aggregate (exact ``median``, not the
-    approximate ``Imputer``) and are equi-joined back on the keys. Without
-    keys the median table has exactly one row and is broadcast; with keys it
-    has one row per key and the join strategy is left to AQE's size check.
+    The medians are equi-joined back on the keys. Without keys the median
+    table has exactly one row and is broadcast; with keys it has one row per
+    key and the join strategy is left to AQE's size check.
     """
     cols = list(columns)
     clean = {c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in cols}
@@ -86,9 +146,12 @@ def median_impute(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
     else:
         jk = ["_all"]
         base = df.withColumn("_all", F.lit(0))
-    agg = F.median if exact else (lambda c: F.percentile_approx(c, 0.5, 10000))
-    med = base.groupBy(*jk).agg(*[agg(clean[c]).alias(f"_med_{c}") for c in cols])
-    joined = base.join(med if keys else F.broadcast(med), jk)
+    if exact:
+        med = exact_medians(base, cols, jk)
+    else:
+        med = base.groupBy(*jk).agg(*[F.percentile_approx(clean[c], 0.5, 10000).alias(f"_med_{c}")
+                                      for c in cols])
+    joined = base.join(med if keys else F.broadcast(med), jk, "left")
     out = joined.select(
         *[F.col(c) for c in df.columns if c not in cols],
         *[F.coalesce(clean[c], F.col(f"_med_{c}")).alias(c) for c in cols],
