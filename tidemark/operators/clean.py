@@ -112,6 +112,9 @@ def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
                   .select(*g, pid, F.col("_w._which").alias("_which"),
                           (F.col("_w._rank") - F.col("_off")).alias("_r"), "_c")
                   .filter((F.col("_r") >= 0) & (F.col("_r") < F.col("_c"))).drop("_c"))
+    # At most two rows per group, read twice: written once so the counts
+    # aggregate over all tagged rows runs once.
+    need = stage(need, "median_need")
     parts = need.select(*g, pid).distinct()
     ranked = (tagged.join(parts, [*g, pid], "left_semi")
                     .select(*g, pid, v, (F.row_number().over(
