@@ -12,9 +12,10 @@ one's docs. All but the last return the columns of documents.
 - pii: entities are replaced by surrogates; no document goes.
 - packing: every piece of every remaining document gets its place.
 
-Null doc_ids: such rows have no label and no id to rank by; the near-copy
-stage keeps one row per component also when its ids are null. Repeated rows
-of one doc_id are copies and one of them stays. Empty tables pass through.
+Null doc_ids: such rows have no label and rank after every id; a component of
+them alone keeps one row per text. Repeated rows of one doc_id are copies and
+one of them stays; rows of one id with different texts stay when the id does.
+Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -37,16 +38,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # The kept rows are known by doc_id; a repeated or null id needs one row
-    # of its own, so rows are numbered first.
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    rows = stage(rows.withColumnRenamed("doc_id", "_id").withColumn(
-        "doc_id", F.coalesce(F.col("_id").cast("long"), F.lit((1 << 63) - 1))), "copy-rows")
-    found = simhash_golay.near_copies(rows.select("doc_id", "text")).where("doc_id = component_id")
-    keep = stage(found.select("doc_id").distinct(), "copy-keep")
-    one = rows.join(keep, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("_row").alias("_row"))
-    one = stage(one.select("_row"), "copy-one")
-    return rows.join(one, "_row", "left_semi").drop("doc_id").withColumnRenamed("_id", "doc_id").select(*docs.columns)
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    rows = docs.withColumns({"_key": key, "_text": F.xxhash64("text")})
+    found = simhash_golay.near_copies(rows.select(F.col("_key").alias("doc_id"), "text"))
+    kept = stage(found.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct(), "copy-kept")
+    # One shuffle of the texts by id, at every size; repeated rows are dropped
+    # where they lie.
+    return (rows.join(kept.hint("merge"), "_key", "left_semi").dropDuplicates(["_key", "_text"])
+            .select(*docs.columns))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
