@@ -27,29 +27,37 @@ from tidemark.llm import language_mixture, packing, pii_surrogates, quality_gbdt
 from tidemark.llm.common import stage, table
 
 
+def _aside(docs: DataFrame, *names: str) -> DataFrame:
+    """docs with columns of these names called something else meanwhile."""
+    return docs.toDF(*(f"{c}__own" if c in names else c for c in docs.columns))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language_mixture.predict(docs, registry.language_model(docs))
-    return found.where("lang_pred <> 'und'").select(*docs.columns)
+    own = _aside(docs, "lang_pred", "score", "langs", "shares")
+    found = language_mixture.predict(own, registry.language_model(docs)).where("lang_pred <> 'und'")
+    return found.select(*own.columns).toDF(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    own = _aside(docs, "score", "predicted")
     trees = registry.quality_trees(docs, table(spark, sf_dir, "labels"))
-    return quality_gbdt.predict(docs, trees).where("predicted = 1").select(*docs.columns)
+    return quality_gbdt.predict(own, trees).where("predicted = 1").select(*own.columns).toDF(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.withColumns({"_key": key, "_text": F.xxhash64("text")})
-    found = simhash_golay.near_copies(rows.select(F.col("_key").alias("doc_id"), "text"))
+    rows = docs.select(key.alias("_key"), F.xxhash64("text").alias("_text"), F.struct(*docs.columns).alias("_doc"))
+    found = simhash_golay.near_copies(docs.select(key.alias("doc_id"), "text"))
     kept = stage(found.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct(), "copy-kept")
     # One shuffle of the texts by id, at every size; repeated rows are dropped
     # where they lie.
     return (rows.join(kept.hint("merge"), "_key", "left_semi").dropDuplicates(["_key", "_text"])
-            .select(*docs.columns))
+            .select("_doc.*"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pii_surrogates.replace_entities(docs).select(*docs.columns)
+    own = _aside(docs, "entities")
+    return pii_surrogates.replace_entities(own).select(*own.columns).toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

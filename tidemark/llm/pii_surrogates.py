@@ -174,7 +174,7 @@ def surrogate(kind: Column, norm: Column, gender: Column, key: str, attempt: Col
     return (F.when(kind == "email", email).when(kind == "ip", F.array_join(octets, "."))
             .when(kind == "card", card).when(kind == "phone", F.regexp_replace(phone, "^\\+(\\d+) ", "+$1 "))
             .when(kind == "iban", _masked(norm, seed, 2)).when(kind == "access", _masked(norm, seed, 4))
-            .when(kind == "hex", hexed).when(kind == "name", _name(norm, gender, key, attempt))
+            .when(norm.rlike("^[0-9a-f]{8,}$"), hexed).when(kind == "name", _name(norm, gender, key, attempt))
             .otherwise(_masked(norm, seed)))
 
 
@@ -203,13 +203,15 @@ def _poured(kind: Column, entity: Column, core: Column) -> Column:
 
 def entities(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(hits, rest): documents with a match, taken apart and written once, with
-    ``_row``, ``_between`` (text around matches) and ``_found`` (place, kind,
+    ``_doc`` (its columns), ``_row``, ``_between`` (text around matches) and ``_found`` (place, kind,
     entity, norm, gender); and the other documents as they are."""
     has = F.when(F.col("text").rlike(HINT), F.col("text").rlike(PATTERN)).otherwise(F.lit(False))
     pattern = F.lit(PATTERN)
-    hits = docs.where(has).withColumn("_row", F.monotonically_increasing_id())
-    hits = hits.withColumn("_between", F.split("text", PATTERN, -1)).withColumn(
-        "_match", F.regexp_extract_all("text", pattern, F.lit(0)))
+    # The document's own columns lie in a struct: none clashes with a helper.
+    hits = docs.where(has).select(
+        F.struct(*docs.columns).alias("_doc"), F.monotonically_increasing_id().alias("_row"),
+        F.split("text", PATTERN, -1).alias("_between"),
+        F.regexp_extract_all("text", pattern, F.lit(0)).alias("_match"))
     women = "|".join(ADDRESS["f"])
 
     def found(e: Column, i: Column) -> Column:
@@ -262,9 +264,11 @@ def replace_entities(docs: DataFrame, key: str = "surrogates") -> DataFrame:
     text = F.array_join(F.flatten(F.zip_with("_between", F.col("_filled"), lambda a, b: F.array(
         F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))), "")
     kept = [c for c in docs.columns if c != "entities"]
-    out = joined.withColumn("_by", by_place).withColumn("_filled", filled).withColumn("text", text)
     none = F.array().cast("array<struct<at:int,kind:string,surrogate:string>>")
-    out = out.withColumn("entities", F.coalesce(F.col("_done"), none))
+    out = joined.withColumn("_by", by_place).withColumn("_filled", filled).select(
+        "_doc", text.alias("_new"), F.coalesce(F.col("_done"), none).alias("entities"))
+    new = {c: F.col("_doc").getField(c) for c in kept} | {"text": F.col("_new")}
     if "n_chars" in kept:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*kept, "entities").unionByName(rest.select(*kept).withColumn("entities", none))
+        new["n_chars"] = F.length("_new").cast(docs.schema["n_chars"].dataType)
+    out = out.select(*(v.alias(c) for c, v in new.items()), "entities")
+    return out.unionByName(rest.select(*kept).withColumn("entities", none))
