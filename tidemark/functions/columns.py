@@ -49,11 +49,9 @@ def half_up_div(num: Column, den: Column) -> Column:
     """round(num / den), halves away from zero (SQL ROUND), for integers
     num and den > 0, exactly.
 
-    |num| -> (2|num| + den) div (2 den), written with ``pmod`` so no floating
+    |num| -> (2|num| + den) div (2 den) in integer division, so no floating
     step can move a result across a half; the sign is put back after."""
-    mag = F.abs(num)
-    top = mag * 2 + den
-    quot = ((top - F.pmod(top, den * 2)) / (den * 2)).cast("bigint")
+    quot = F.call_function("div", F.abs(num) * 2 + den, den * 2)
     return F.when(num < 0, -quot).otherwise(quot)
 
 

@@ -17,8 +17,8 @@ re-used on a bounded slice:
 5. state             the last row per series after the append.
 
 Late data: new rows must be later than the stored rows of their series;
-a candle inside the stored history needs a rebuild from its time on
-(``late_rows`` finds them).
+candles inside the stored history are handed back as ``late``, and ``rebuild``
+builds their series anew with them in place.
 """
 
 from __future__ import annotations
@@ -44,6 +44,7 @@ class AppendResult:
     features: DataFrame      # feature rows of the appended candles
     state: DataFrame         # state per series after the append
     appended: DataFrame      # the candles that were appended (cleaned, new only)
+    late: DataFrame          # new candles inside the stored history: not appended, see rebuild
 
 
 def new_only(new: DataFrame, existing: DataFrame, keys: Sequence[str],
@@ -91,6 +92,7 @@ def append_candles(existing: DataFrame, new: DataFrame, state: DataFrame,
     keys, order = list(keys), list(order)
     time = order[0]
     fresh = new_only(clean_candles(new, keys, order) if clean else new, existing, keys, order)
+    late = late_rows(fresh, state, keys, time)
     # Only rows after the newest stored one extend a series; older ones are
     # late (see late_rows) and need a rebuild from their time on.
     fresh = (fresh.join(state.select(*keys, F.col("last_time").alias("_lt")), keys, "left")
@@ -126,7 +128,23 @@ def append_candles(existing: DataFrame, new: DataFrame, state: DataFrame,
     new_state = touched_state.unionByName(
         state.join(touched_state.select(*keys), keys, "left_anti"))
     out = trim_rows(x.filter(F.col("_new")))
-    return AppendResult(feature_projection(out, keys, order), new_state, fresh)
+    return AppendResult(feature_projection(out, keys, order), new_state, fresh, late)
+
+
+def rebuild(existing: DataFrame, late: DataFrame, keys: Sequence[str] = ("series",),
+            order: Sequence[str] = ("open_time",), clean: bool = True,
+            block_rows: int = P.DEFAULT_BLOCK_ROWS) -> AppendResult:
+    """Features and state of the series that have late rows, from their whole
+    history with the late rows in place (RSI runs through every later row, so
+    a late candle changes all of them). ``existing`` is the whole raw table."""
+    keys, order = list(keys), list(order)
+    touched = late.select(*keys).distinct()
+    late = new_only(late, existing, keys, order)
+    whole = existing.join(touched, keys, "left_semi").unionByName(late.select(*existing.columns))
+    x = with_rsi(windowed(whole, keys, order, clean, block_rows), keys, "_delta", TRIM, block_rows,
+                 keep_means=True)
+    return AppendResult(feature_projection(trim_rows(x), keys, order), _state_of(x, keys, order[0]),
+                        late, late.limit(0))
 
 
 def history_tail(existing: DataFrame, keys: Sequence[str] = ("series",),

@@ -97,7 +97,7 @@ def standardize(frame: DataFrame, scaler: DataFrame, inputs: Sequence[str],
                 keys: Sequence[str] = ("series",), suffix: str = "") -> DataFrame:
     """z = (x - mean) / std with the training statistics; a zero std scales
     by 1 (the column is constant on the training rows)."""
-    j = frame.join(scaler, list(keys))
+    j = frame.join(scaler, list(keys), "left")
     zs = {}
     for c in inputs:
         sd = q(f"std_{c}")
@@ -162,8 +162,9 @@ def linear_prediction(coef_prefix: str, inputs: Sequence[str]) -> Column:
 
 def predict(z: DataFrame, model: DataFrame, inputs: Sequence[str],
             keys: Sequence[str] = ("series",), out: str = "prediction") -> DataFrame:
-    """Raw (unrounded) prediction per row; the model table has one row per series."""
-    j = z.join(model.drop("train_rows"), list(keys))
+    """Raw (unrounded) prediction per row; the model table has one row per
+    series. Rows of a series without a fit stay, with a NULL prediction."""
+    j = z.join(model.drop("train_rows"), list(keys), "left")
     return j.select(*z.columns, linear_prediction("coef_", inputs).alias(out))
 
 
@@ -180,7 +181,7 @@ def fit_simple(frame: DataFrame, x: str = "close", keys: Sequence[str] = ("serie
 
 def predict_simple(frame: DataFrame, model: DataFrame, x: str = "close",
                    keys: Sequence[str] = ("series",), out: str = "prediction") -> DataFrame:
-    j = frame.join(model.drop("train_rows"), list(keys))
+    j = frame.join(model.drop("train_rows"), list(keys), "left")
     return j.select(*frame.columns, (F.col("intercept") + F.col("slope") * F.col(x)).alias(out))
 
 
@@ -207,7 +208,7 @@ def metrics_table(sc: DataFrame, run_id: Column, model_name: str, n_features: in
     """One row per series: test scores, training R2, row counts (M7)."""
     test = sc.filter(F.col("split") == "test").alias("t")
     train = sc.filter(F.col("split") == "train").alias("r")
-    j = test.join(train, list(keys))
+    j = test.join(train, list(keys), "left")
     return j.select(
         *[F.col(f"t.{k}").alias(k) for k in keys],
         run_id.alias("run_id"), F.lit(model_name).alias("model"),

@@ -8,9 +8,9 @@ and may not fit in memory. The operators here cut a series into bounded pieces:
     0-based position of each row in its series, without a window over the
     series. Rows are numbered inside (series, time bucket) groups, and each
     bucket gets an offset from a running sum over the small table of bucket
-    counts. Counting is a map-side partial aggregate, and the offset table is
-    joined back on the same (series, bucket) hash partitioning the numbering
-    window already uses, so only the small side moves.
+    counts. Counting is a map-side partial aggregate. The numbered rows are
+    written once and read back, which loses their layout: where the offset
+    table is over the broadcast limit, the join back shuffles the rows again.
 
 ``halo_blocks``
     Splits the positions into blocks of ``block_rows``. Rows near a block edge
@@ -19,12 +19,14 @@ and may not fit in memory. The operators here cut a series into bounded pieces:
     be evaluated with ``Window.partitionBy(series, _blk).orderBy(_pos)`` and
     then restricted to the block's own rows with ``home_rows``.
 
-Keys must be non-null.
+NULL keys form a series of their own; NULL times sort first in their series.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -110,8 +112,15 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    F.lit(0)).alias("_off"),
         *([F.sum("_bn").over(Window.partitionBy(*keys)).alias(SLEN)] if with_length else []),
     )
-    out = x.join(offsets, [*keys, BKT]).withColumn(POS, F.col("_off") + F.col("_rn"))
-    return out.drop("_rn", "_off", "_bn", BKT)
+    # Null-safe: rows with a NULL key are a series of their own, rows with a
+    # NULL time come first in theirs; none is lost.
+    by = [*keys, BKT]
+    names = {c: f"_by{i}" for i, c in enumerate(by)}
+    offsets = offsets.select(*[F.col(c).alias(n) for c, n in names.items()],
+                             *[c for c in offsets.columns if c not in by])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    out = x.join(offsets, same).withColumn(POS, F.col("_off") + F.col("_rn"))
+    return out.drop("_rn", "_off", "_bn", BKT, *names.values())
 
 
 def halo_blocks(df: DataFrame, keys: Sequence[str], block_rows: int = DEFAULT_BLOCK_ROWS,
@@ -144,8 +153,3 @@ def home_rows(df: DataFrame, block_rows: int) -> DataFrame:
 def block_window(keys: Sequence[str]) -> Window:
     """Ordered window over one halo block."""
     return Window.partitionBy(*keys, BLK).orderBy(POS)
-
-
-def keyed_window(keys: Sequence[str], order: Sequence[str]) -> Window:
-    """Plain ordered window over whole series (one task per series)."""
-    return Window.partitionBy(*keys).orderBy(*order)

@@ -65,6 +65,18 @@ def moving_average(w: Window, n: int, close: str = "close") -> Column:
     return cents_mean(_last(w, PREFIX[1], n), _last(w, PREFIX[0], n))
 
 
+def _squared(c: Column) -> Column:
+    """Square of integer cents as a decimal: exact for prices far over 10^9."""
+    return c.cast("decimal(18,0)") * c.cast("decimal(18,0)")
+
+
+def _variance(k: Column, s1: Column, s2: Column) -> Column:
+    """Sample variance from a count, an integer sum and a decimal square sum."""
+    s1 = s1.cast("decimal(19,0)")
+    top = (k.cast("decimal(10,0)") * s2 - s1 * s1).cast("double")
+    return F.try_divide(top, (k * (k - 1)).cast("double"))
+
+
 def rolling_std(w: Window, n: int, close: str = "close") -> Column:
     """round(sample stddev(close), 2) over the last n rows; NULL on one row.
 
@@ -76,9 +88,7 @@ def rolling_std(w: Window, n: int, close: str = "close") -> Column:
     c = F.col(CENTS)
     f = frame(w, n)
     k = F.count(c).over(f)
-    s1 = F.sum(c).over(f)
-    s2 = F.sum(c * c).over(f)
-    var_cents = F.try_divide(k * s2 - s1 * s1, k * (k - 1))
+    var_cents = _variance(k, F.sum(c).over(f), F.sum(_squared(c)).over(f))
     return F.when(k > 1, F.round(F.sqrt(var_cents) / 100.0, 2))
 
 
@@ -121,10 +131,10 @@ def add_feature_columns(df, w: Window, close: str = "close", delta: str | None =
         step1.append(_last(w, PREFIX[1], n).alias(f"_s{n}"))
         step1.append(_last(w, PREFIX[0], n).alias(f"_k{n}"))
     step1 += [F.count(c).over(f).alias("_vk"), F.sum(c).over(f).alias("_vs1"),
-              F.sum(c * c).over(f).alias("_vs2")]
+              F.sum(_squared(c)).over(f).alias("_vs2")]
     x = df.select("*", *step1)
     k, s1, s2 = F.col("_vk"), F.col("_vs1"), F.col("_vs2")
-    var_cents = F.try_divide(k * s2 - s1 * s1, k * (k - 1))
+    var_cents = _variance(k, s1, s2)
     step2 = {
         "returns": log_return(F.col(close), F.col("lag_1")),
         **{f"ma_{n}": cents_mean(F.col(f"_s{n}"), F.col(f"_k{n}")) for n in MA_PERIODS},

@@ -414,14 +414,14 @@ def profile_nulls(spark, sf):
 
 @query("profile_duplicates", _sql(O.TICKS, """
 SELECT series, count(*) AS total_rows, count(DISTINCT ts) AS distinct_times,
-       count(*) - count(DISTINCT ts) AS duplicate_rows
+       count(ts) - count(DISTINCT ts) AS duplicate_rows
 FROM ticks GROUP BY series"""))
 def profile_duplicates(spark, sf):
-    """A4: rows minus distinct times per series."""
+    """A4: rows with a time minus distinct times per series."""
     t = ticks(spark, sf)
     return t.groupBy("series").agg(
         F.count(F.lit(1)).alias("total_rows"), F.count_distinct("ts").alias("distinct_times"),
-        (F.count(F.lit(1)) - F.count_distinct("ts")).alias("duplicate_rows"))
+        (F.count("ts") - F.count_distinct("ts")).alias("duplicate_rows"))
 
 
 @query("profile_price_stats", _sql(_C, f"""

@@ -98,8 +98,10 @@ class FeatureSink:
         try:
             df = spark.read.schema(with_epoch).parquet(path).filter(F.col("epoch") < epoch)
             last = df.agg(F.max("epoch")).first()[0]
-        except AnalysisException:           # nothing written yet
-            last = None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            last = None                     # nothing written yet
         if last is None:
             return spark.createDataFrame([], schema)
         return df.filter(F.col("epoch") == last).drop("epoch")
