@@ -35,6 +35,7 @@ from tidemark.operators.windows import (CENTS, MAX_LOOKBACK, PREFIX, add_feature
                                         price_delta, with_cents, with_prefix)
 from tidemark.plans.dashboard import last_rows
 from tidemark.plans.features import TRIM, feature_projection, trim_rows, windowed, with_rsi
+from tidemark.sources.sinks import stage
 
 STATE_COLUMNS = ["last_pos", "last_time", "last_close", "avg_gain", "avg_loss"]
 
@@ -91,14 +92,18 @@ def append_candles(existing: DataFrame, new: DataFrame, state: DataFrame,
     """
     keys, order = list(keys), list(order)
     time = order[0]
-    fresh = new_only(clean_candles(new, keys, order) if clean else new, existing, keys, order)
+    # Written once each: the new rows, and the history slice below. So ``new``
+    # is evaluated once and ``existing`` twice (its keys, its last rows).
+    fresh = stage(new_only(clean_candles(new, keys, order) if clean else new, existing, keys, order),
+                  "append-new")
     late = late_rows(fresh, state, keys, time)
     # Only rows after the newest stored one extend a series; older ones are
     # late (see late_rows) and need a rebuild from their time on.
     fresh = (fresh.join(state.select(*keys, F.col("last_time").alias("_lt")), keys, "left")
                   .filter(F.col("_lt").isNull() | (F.col(time) > F.col("_lt"))).drop("_lt"))
     touched = fresh.select(*keys).distinct()
-    hist = last_rows(existing.join(touched, keys, "left_semi"), MAX_LOOKBACK, keys, order)
+    hist = stage(last_rows(existing.join(touched, keys, "left_semi"), MAX_LOOKBACK, keys, order),
+                 "append-history")
     cols = hist.columns
     both = (hist.withColumn("_new", F.lit(False))
                 .unionByName(fresh.select(*cols).withColumn("_new", F.lit(True))))

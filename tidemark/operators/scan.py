@@ -52,7 +52,15 @@ def carry_blocks(com: float, block_rows: int) -> int:
 
 def max_block_rows(com: float) -> int:
     """Largest block for which ``d^-(B-1)`` stays far inside the double range."""
-    return int(600.0 / math.log1p(1.0 / com))
+    return max(1, int(600.0 / math.log1p(1.0 / com)))
+
+
+def scan_rows(com: float, block_rows: int) -> int:
+    """Rows scanned at once: the block, or its largest even part that stays
+    inside the double range."""
+    most = max_block_rows(com)
+    return next(block_rows // n for n in range(1, block_rows + 1)
+                if block_rows % n == 0 and block_rows // n <= most)
 
 
 def ewm(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
@@ -62,17 +70,27 @@ def ewm(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
     ``inputs`` maps output column -> input column. ``seed_pos`` (a Column or
     an int) is the first position of the mean: its input seeds the mean with
     weight 1, later rows have weight ``a``; outputs before it are NULL.
-    A NULL input after the seed contributes 0.
+    A NULL input after the seed contributes 0. ``com`` is any number from 0
+    on: where a whole block would leave the double range, the block is scanned
+    in equal parts.
     """
-    if block_rows > max_block_rows(com):
-        raise ValueError(f"block_rows {block_rows} too large for com={com}: "
-                         f"at most {max_block_rows(com)}")
+    if com < 0:
+        raise ValueError("com must be at least 0")
     keys = list(keys)
-    a = 1.0 / (1.0 + com)
-    d = 1.0 - a
     seed = F.col(seed_pos) if isinstance(seed_pos, str) else (
         seed_pos if not isinstance(seed_pos, int) else F.lit(seed_pos))
     p = F.col(POS)
+    if com == 0:                                          # no memory: the input itself
+        same = {o: F.when(p >= seed, F.coalesce(F.col(c), F.lit(0.0))) for o, c in inputs.items()}
+        return df.withColumns(same)
+    a = 1.0 / (1.0 + com)
+    d = 1.0 - a
+    part_rows = scan_rows(com, block_rows)
+    if part_rows < block_rows:
+        # Parts are numbered through the series like blocks of their own size.
+        parts = df.withColumn("_whole", F.col(BLK)).withColumn(BLK, F.floor(p / part_rows).cast("bigint"))
+        done = ewm(parts, keys, inputs, com, seed, part_rows)
+        return done.withColumn(BLK, F.col("_whole")).drop("_whole")
     off = p - F.col(BLK) * block_rows                     # 0 .. B-1
     weight = F.when(p == seed, F.lit(1.0)).when(p > seed, F.lit(a))
     grow = F.pow(F.lit(1.0 / d), off)                    # d^-(q-s)

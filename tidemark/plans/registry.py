@@ -83,7 +83,8 @@ def _simple(spark, sf, run="r2", fraction=ml.TRAIN_FRACTION, features=None):
 
 
 def _ols(spark, sf):
-    return G.run_ols(_frame(spark, sf), run_id="ols")
+    return G.run_ols(_frame(spark, sf), run_id="ols",
+                     created_at=F.to_timestamp(F.lit(RUN_AT["r2"])))
 
 
 def _untrimmed(spark, sf):
@@ -122,12 +123,17 @@ sm{sfx} AS (
   FROM mf{sfx} WHERE split = 'train' GROUP BY series),
 sp{sfx} AS (
   SELECT m.*, s.intercept + s.slope * m.close AS prediction
-  FROM mf{sfx} m JOIN sm{sfx} s ON s.series = m.series),
+  FROM mf{sfx} m JOIN sm{sfx} s ON s.series = m.series)""" + _tables_sql(run, sfx, "SimpleRegression", 1)
+
+
+def _tables_sql(run: str, sfx: str, model: str, features: int) -> str:
+    """Gold tables from scored rows ``sp``."""
+    return f""",
 preds{sfx} AS (
   SELECT series, open_time, target_time, target AS actual, round(prediction, 2) AS predicted,
          round(target - prediction, 2) AS error,
          round(abs(target - prediction) / target * 100, 4) AS pct_error,
-         '{run}' AS run_id, 'SimpleRegression' AS model
+         '{run}' AS run_id, '{model}' AS model
   FROM sp{sfx} WHERE split = 'test'),
 sc{sfx} AS (
   SELECT series, split, count(*) AS rows,
@@ -138,10 +144,10 @@ sc{sfx} AS (
          avg(abs((target - prediction) / target)) * 100 AS mape
   FROM sp{sfx} GROUP BY series, split),
 metrics{sfx} AS (
-  SELECT t.series, '{run}' AS run_id, 'SimpleRegression' AS model,
+  SELECT t.series, '{run}' AS run_id, '{model}' AS model,
          round(t.rmse, 4) AS rmse, round(t.mae, 4) AS mae, round(t.r2, 6) AS r2,
          round(t.mape, 4) AS mape, round(r.r2, 6) AS r2_train,
-         r.rows AS train_rows, t.rows AS test_rows, CAST(1 AS BIGINT) AS features,
+         r.rows AS train_rows, t.rows AS test_rows, CAST({features} AS BIGINT) AS features,
          TIMESTAMP '{RUN_AT[run]}' AS created_at
   FROM sc{sfx} t JOIN sc{sfx} r ON r.series = t.series AND t.split = 'test' AND r.split = 'train')"""
 
@@ -882,5 +888,6 @@ def order_features(spark, sf):
     return build_features(ticks_as_candles(order_ticks(spark, sf)), order=TICK_ORDER)
 
 
-# streaming queries register themselves
+# these modules register their queries themselves
+from tidemark.plans import stored_queries as _stored_queries  # noqa: E402,F401
 from tidemark.streaming import queries as _streaming_queries  # noqa: E402,F401

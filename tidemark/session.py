@@ -73,7 +73,9 @@ def ensure_checkpoint_dir(spark: SparkSession, scratch: str | None = None) -> st
     """Return the shared checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only a session without one (tests) gets a folder under ``scratch``.
+    is. Only a local session without one (tests) gets a folder under
+    ``scratch``; a session over several machines without one is refused,
+    since each executor would write to its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -81,6 +83,8 @@ def ensure_checkpoint_dir(spark: SparkSession, scratch: str | None = None) -> st
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = os.path.join(scratch or tempfile.mkdtemp(prefix="tidemark-"),
                                   "checkpoints")
     sc.setCheckpointDir(configured)

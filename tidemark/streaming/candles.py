@@ -25,6 +25,7 @@ from pyspark.errors import AnalysisException
 from tidemark.functions.columns import cents
 from tidemark.operators.incremental import append_candles, history_tail
 from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.sinks import stage
 
 WATERMARK = "10 minutes"
 STATE_SCHEMA = T.StructType([
@@ -78,7 +79,8 @@ class FeatureSink:
     """``foreachBatch`` target that appends each batch's closed candles.
 
     Under ``base`` it keeps, one ``epoch=`` partition per batch: ``raw`` (the
-    appended candles), ``features``, ``state`` (per series) and ``tail`` (the
+    appended candles), ``late`` (candles inside the stored history, for
+    ``rebuild``), ``features``, ``state`` (per series) and ``tail`` (the
     last 167 candles per series). A batch reads only the previous epoch's
     state and tail, so its cost follows the batch and the number of series,
     not the history.
@@ -113,6 +115,7 @@ class FeatureSink:
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
+        batch = stage(batch, "stream-batch")    # the stateful aggregate runs once
         if batch.isEmpty():
             return
         tail = self._read_previous(spark, "tail", epoch, batch.schema)
@@ -120,6 +123,7 @@ class FeatureSink:
         res = append_candles(tail, batch, state, self.keys)
         appended = res.appended.select(*batch.columns)
         self._write(appended, "raw", epoch)
+        self._write(res.late.select(*batch.columns), "late", epoch)
         self._write(res.features, "features", epoch)
         self._write(res.state, "state", epoch)
         self._write(history_tail(tail.unionByName(appended), self.keys), "tail", epoch)
