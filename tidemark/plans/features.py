@@ -1,9 +1,11 @@
 """The feature table (silver): 20 reference columns per series.
 
-One lazy plan: clean -> positions -> halo blocks -> all bounded frames and
-lags in one Window node -> trim -> RSI as a block scan on the same blocks.
-Data moves in two full shuffles (numbering buckets, then blocks); everything
-else that crosses partitions is one row per bucket or per block.
+Clean -> positions -> halo blocks -> all bounded frames and lags in one
+Window node -> trim -> RSI as a block scan on the same blocks. The numbered
+rows and the block scan are written once each while the plan is built. Data
+moves in two full shuffles (numbering buckets, then blocks) while the tables
+of bucket offsets and block carries can be broadcast; beyond that limit each
+of their joins shuffles the rows once more.
 """
 
 from __future__ import annotations
