@@ -190,6 +190,16 @@ def test_surrogates(spark):
     assert m and m[2] == m[3] and m[1] in pii_surrogates.GIVEN["latin", "f"]
 
 
+def test_upper_case_secrets(spark):
+    docs = spark.createDataFrame(
+        [(1, 'TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"!! PASSWORD=Zebra77x, 0641917EA4E9FEB9 CAFE DEADBEEF')],
+        "doc_id long, text string")
+    text, found = pii_surrogates.replace_entities(docs, "k").select("text", "entities").first()
+    m = re.fullmatch(r'TOKEN = "([0-9A-F]{40})"!! PASSWORD=([A-Z][a-z]{4}\d\d[a-z]), ([0-9A-F]{16}) CAFE DEADBEEF', text)
+    assert m and not {"9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "Zebra77x", "0641917EA4E9FEB9"} & set(m.groups())
+    assert [e["kind"] for e in found] == ["secret", "secret", "hex"]
+
+
 def luhn(s):
     d = [int(c) for c in reversed(s)]
     return (sum(d[::2]) + sum(x * 2 - 9 * (x > 4) for x in d[1::2])) % 10 == 0

@@ -68,21 +68,21 @@ _FORMS = "|".join(x for xs in ADDRESS.values() for x in xs)
 _INITIALS = "".join(sorted({x[0] for xs in ADDRESS.values() for x in xs}))
 PARTS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
-    "secret": r"""(?:password|passwd|secret|api_key)=[^\s"',;]{6,}+|token = "[^\s"]{8,}+""",
+    "secret": r"""(?i:password|passwd|secret|api_key)=[^\s"',;]{6,}+|(?i:token) = "[^\s"]{8,}+""",
     "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?+(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3,4}[ .-]\d{4}(?!\d)",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|\d?\d)(?!\.?[\p{L}\p{N}])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "iban": _EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _END,
     "card": _EDGE + r"\d(?:[ -]?\d){12,18}" + _END,
     "access": _EDGE + r"(?:AKIA|ASIA)[A-Z0-9]{16}" + _END,
-    "hex": _EDGE + r"(?=[0-9a-f]*[a-f])(?=[0-9a-f]*\d)[0-9a-f]{16,128}" + _END,
+    "hex": _EDGE + r"(?:(?=\d*[a-f])(?=[a-f]*\d)[0-9a-f]{16,128}|(?=\d*[A-F])(?=[A-F]*\d)[0-9A-F]{16,128})" + _END,
     "name": rf"(?=[{_INITIALS}])(?<!\p{{L}})(?:{_FORMS})\.? {_NAME}(?: {_NAME})?+",
 }
 PATTERN = "|".join(PARTS.values())
 #: What stands before the part of a match that is replaced.
-LEAD = rf"^(?:(?:{_FORMS})\.? |(?:password|passwd|secret|api_key)=|token = \")"
+LEAD = rf"^(?:(?:{_FORMS})\.? |(?i:password|passwd|secret|api_key)=|(?i:token) = \")"
 #: Every match of PATTERN holds one of these; a text without them is passed by.
-HINT = rf"@|\d[ .-]?\d|[0-9a-f]{{16}}|AKIA|ASIA|(?:password|passwd|secret|api_key)=|token = \"|(?=[{_INITIALS}])(?:{_FORMS})\.? "
+HINT = rf"@|\d[ .-]?\d|[0-9a-f]{{16}}|[0-9A-F]{{16}}|AKIA|ASIA|(?i:password|passwd|secret|api_key)=|(?i:token) = \"|(?=[{_INITIALS}])(?:{_FORMS})\.? "
 #: Kinds whose surrogate replaces letters and digits in place.
 _POURED = ("phone", "ssn", "iban", "card")
 
@@ -171,10 +171,12 @@ def surrogate(kind: Column, norm: Column, gender: Column, key: str, attempt: Col
     phone = F.concat(norm.substr(F.lit(1), F.when(code > 0, code + 2).otherwise(0)),
                      _masked(norm.substr(F.when(code > 0, code + 3).otherwise(1), F.length(norm)), seed))
     hexed = F.translate(_masked(norm, seed), "ghijklmnopqrstuvwxyz", "abcdefabcdefabcdefab")
+    upper_hexed = F.translate(_masked(norm, seed), "GHIJKLMNOPQRSTUVWXYZ", "ABCDEFABCDEFABCDEFAB")
     return (F.when(kind == "email", email).when(kind == "ip", F.array_join(octets, "."))
             .when(kind == "card", card).when(kind == "phone", F.regexp_replace(phone, "^\\+(\\d+) ", "+$1 "))
             .when(kind == "iban", _masked(norm, seed, 2)).when(kind == "access", _masked(norm, seed, 4))
-            .when(norm.rlike("^[0-9a-f]{8,}$"), hexed).when(kind == "name", _name(norm, gender, key, attempt))
+            .when(norm.rlike("^[0-9a-f]{8,}$"), hexed)
+            .when(norm.rlike("^[0-9A-F]{8,}$"), upper_hexed).when(kind == "name", _name(norm, gender, key, attempt))
             .otherwise(_masked(norm, seed)))
 
 
