@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from tidemark.llm import cover_tree, permutation_index
+from tidemark.llm import cover_tree, permutation_index, vector_blocks
 
 SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
                        T.StructField("score", T.StringType()), T.StructField("rank", T.StringType())])
@@ -102,6 +102,48 @@ def test_permutation_index_whole_blocks_are_exact(spark, points):
         assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == want
 
 
+@pytest.mark.parametrize("n", [14, 500, 2_000])
+def test_permutation_index_serves_small_blocks(spark, monkeypatch, n):
+    """Every query of a block reads the inverted files, also when the block is
+    smaller than the rerank of a large one."""
+    x = np.random.default_rng(8).normal(size=(n, 8))
+    taken = []
+    monkeypatch.setattr(vector_blocks, "search", lambda rows, q, k, nearest, *a, **b: taken.append(nearest))
+    permutation_index.nearest(frame(spark, x), every=100, k=10)
+    asked = []
+    nearness = permutation_index.InvertedFiles.nearness
+    monkeypatch.setattr(permutation_index.InvertedFiles, "nearness", lambda f, o: asked.append(f.n) or nearness(f, o))
+    ids = np.arange(n)
+    at, who, _ = taken[0](ids[::100], x[::100], ids, x)
+    assert asked == [n] * len(ids[::100]) and len(who) == 10 * len(asked)
+    assert permutation_index.rerank_budget(n, 10) <= max(10, n // 2)
+    # A length that no pivot has, rows in any order.
+    mixed = np.random.default_rng(9).permutation(n)
+    _, other, _ = taken[0](ids[:1], x[:1, :5], ids[mixed], x[mixed][:, :5])
+    assert asked[-1] == n and len(asked) == len(ids[::100]) + 1 and 0 not in ids[mixed][other]
+
+
+@pytest.mark.parametrize("n", [3_000, 40_000])
+def test_permutation_index_recall_at_production_parameters(spark, n):
+    """Under one block and in three of them (16,384 rows at most each)."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(n, 32)).astype(np.float32)
+    x[::3] = x[0] + rng.normal(size=(len(x[::3]), 32)).astype(np.float32) * 0.3
+    every = n // 30
+    got = permutation_index.nearest(frame(spark, x), every=every, k=10).collect()
+    found, v, hits = {}, x.astype(float), 0
+    for r in got:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert set(found) == set(range(0, n, every))
+    for q, ids in found.items():
+        d = ((v - v[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        assert len(ids) == 10 and q not in ids
+        hits += len(set(np.argsort(d, kind="stable")[:10].tolist()) & ids)
+    print(f"recall at 10 of {n} rows: {hits / len(got):.3f}")
+    assert hits / len(got) >= 0.9
+
+
 def test_footrule():
     rng = np.random.default_rng(1)
     x, p = rng.normal(size=(50, 8)), rng.normal(size=(20, 8))
