@@ -146,6 +146,41 @@ def test_plan_is_near_the_lower_bound():
     assert sum(k for _, k in plan) <= low * 1.005
 
 
+@pytest.mark.parametrize("histogram, sequences", [
+    ({1_100: 10_000_000}, 10_000_000),
+    ({1_500: 10_000_000, 700: 10_000_000, 30: 1_000_000}, 15_000_000),
+    (dict.fromkeys(range(1_025, 2_049), 3) | {1_500: 10_000_000}, 10_000_000 + 3 * 1_023),
+])
+def test_plan_of_hot_lengths_stays_small(histogram, sequences):
+    """Lengths that cannot fill a sequence: the program's configurations are
+    taken, and the plan does not grow with the copies."""
+    plan = packing.plan_packing(histogram, 2_048)
+    held = Counter()
+    for config, k in plan:
+        assert 0 < sum(config) <= 2_048 and k > 0
+        for x in config:
+            held[x] += k
+    assert held == Counter(histogram)
+    assert sum(k for _, k in plan) == sequences and len(plan) <= 3 * len(histogram)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 60), max_size=30))
+def test_best_fit_by_counts_equals_piece_by_piece(histogram):
+    rooms = []
+    for length in sorted((x for x, n in histogram.items() for _ in range(n)), reverse=True):
+        at = min((r for r in rooms if r >= length), default=None)
+        if at is None:
+            at = 64
+        else:
+            rooms.remove(at)
+        rooms.append(at - length)
+    got = Counter()
+    for config, k in packing._best_fit(histogram, 64):
+        got[64 - sum(config)] += k
+    assert got == Counter(rooms)
+
+
 def test_packing_places_every_token(spark, odd_docs, no_docs, byte_library):
     rows = packing.pack(odd_docs, BYTE, 64, end_id=0, with_ids=True).collect()
     want = Counter((r["doc_id"], tuple([*byte_library(r["text"]), 0])) for r in odd_docs.collect())

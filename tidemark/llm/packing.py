@@ -41,7 +41,7 @@ from tidemark.llm.common import stage, sub_batches
 CAPACITY = 2048
 #: The program is solved anew over what rounding left, so many times at most.
 SOLVES = 4
-#: Only configurations at least this full are taken from the program.
+#: While another solve follows, only configurations at least this full are taken.
 FULL = 0.995
 
 
@@ -149,25 +149,40 @@ def solve_lp(lengths: np.ndarray, counts: np.ndarray, cap: int, rounds: int = 16
 
 
 def _best_fit(counts: dict[int, int], cap: int) -> list[tuple[tuple[int, ...], int]]:
-    """Best fit by decreasing length over a histogram: each piece goes to the
-    fullest open sequence that holds it, else opens one."""
-    open_by_room: dict[int, list[list[int]]] = {}
-    rooms = np.zeros(cap + 1, dtype=np.int64)
-    done = []
+    """Best fit by decreasing length over a histogram, whole counts at a time:
+    the pieces of a length go to the fullest open sequences that hold one, then
+    to the next fullest, and what is left opens new ones. Sequences of one
+    configuration are one entry; an entry is split only where a length ends."""
+    open_by_room: dict[int, list[tuple[tuple[int, ...], int]]] = {}
+    rooms = np.zeros(cap + 1, dtype=bool)
+
+    def put(room: int, config: tuple[int, ...], k: int) -> None:
+        open_by_room.setdefault(room, []).append((config, k))
+        rooms[room] = True
+
     for length in sorted(counts, reverse=True):
-        for _ in range(counts[length]):
+        left = counts[length]
+        while left:
             hit = np.flatnonzero(rooms[length:])
             if len(hit):
                 room = length + int(hit[0])
-                config = open_by_room[room].pop()
-                rooms[room] -= 1
+                config, k = open_by_room[room].pop()
+                rooms[room] = bool(open_by_room[room])
             else:
-                room, config = cap, []
-                done.append(config)
-            config.append(length)
-            open_by_room.setdefault(room - length, []).append(config)
-            rooms[room - length] += 1
-    return [(tuple(c), 1) for c in done]
+                room, config, k = cap, (), -(-left // (cap // length))
+            # Piece by piece a sequence would stay the fullest until it is full.
+            c = room // length
+            whole = min(k, left // c)
+            if whole:
+                put(room - c * length, config + (length,) * c, whole)
+                left -= whole * c
+                k -= whole
+            if k and left:  # fewer than c pieces are left: one more sequence
+                put(room - left * length, config + (length,) * left, 1)
+                left, k = 0, k - 1
+            if k and config:
+                put(room, config, k)
+    return [entry for entries in open_by_room.values() for entry in entries]
 
 
 def plan_packing(histogram: dict[int, int], cap: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
@@ -175,21 +190,30 @@ def plan_packing(histogram: dict[int, int], cap: int = CAPACITY) -> list[tuple[t
     exactly: full pieces alone, then the rounded program, then best fit."""
     left = {k: v for k, v in histogram.items() if 0 < k < cap and v > 0}
     plan = [((cap,), histogram[cap])] if histogram.get(cap) else []
-    for _ in range(SOLVES if left else 0):
-        lengths = np.array(sorted(left), dtype=np.int64)
-        amount = solve_lp(lengths, np.array([left[int(x)] for x in lengths]), cap)
+
+    def take(amount: dict[tuple[int, ...], float], least: float) -> int:
+        """Fullest configurations first; amounts are rounded down."""
         took = 0
-        # Fullest configurations first; amounts are rounded down.
         for config, x in sorted(amount.items(), key=lambda kv: (-sum(kv[0]), kv[0])):
             uses = {k: config.count(k) for k in config}
             k = min([int(x + 1e-6), *(left.get(l, 0) // c for l, c in uses.items())])
-            if k > 0 and sum(config) >= FULL * cap:
+            if k > 0 and sum(config) >= least:
                 plan.append((config, k))
                 took += k
                 for l, c in uses.items():
                     left[l] -= c * k
+        return took
+
+    for solve in range(1, SOLVES + 1):
+        if not left:
+            break
+        lengths = np.array(sorted(left), dtype=np.int64)
+        amount = solve_lp(lengths, np.array([left[int(x)] for x in lengths]), cap)
+        last = solve == SOLVES or not take(amount, FULL * cap)
+        if last:
+            take(amount, 0)
         left = {k: v for k, v in left.items() if v}
-        if not took or not left:
+        if last:
             break
     return plan + _best_fit(left, cap)
 
