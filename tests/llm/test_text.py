@@ -220,6 +220,24 @@ def test_surrogates_stay_distinct(spark):
     assert all(re.fullmatch(r"\d\.\d\.\d\.\d", r["core"]) for r in rows if r["kind"] == "ip")
 
 
+def test_family_names_do_not_run_out(spark):
+    """More family names than three syllables hold; a family name's surrogate
+    is the same with and without a given name, also after clashes."""
+    letters = "abcdefghijklmnopqrst"
+    latin = ["Q" + a + b + c for a in letters for b in letters for c in letters[:13]][:5_000]
+    greek = ["Ω" + a + b + c for a in "αβγδεζηθικλμ" for b in "αβγδεζηθικ" for c in "αβγδεζηθικ"]
+    families = latin + greek
+    found = spark.createDataFrame(
+        [("name", x, "m") for x in families] + [("name", f"{g} {x}", "m") for x in families for g in ("John", "Paul")],
+        "kind string, norm string, gender string")
+    core = {r["norm"]: r["core"] for r in pii_surrogates.surrogate_table(found, "k").collect()}
+    assert len(core) == 3 * len(families) and len(set(core.values())) == len(core) and not set(core) & set(core.values())
+    assert len({core[x] for x in families}) == len(families) == 6_200
+    for x in families:
+        assert core[f"John {x}"].split(" ")[1] == core[f"Paul {x}"].split(" ")[1] == core[x]
+    assert all(re.fullmatch("[Α-Ω][α-ω]+", core[x]) for x in greek)
+
+
 def test_surrogates_odd_rows(spark, odd_docs, no_docs):
     got = pii_surrogates.replace_entities(odd_docs)
     same = [c for c in odd_docs.columns]

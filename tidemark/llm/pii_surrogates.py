@@ -18,7 +18,9 @@ name before it.
 Collisions. The surrogates of all distinct entities are checked against each
 other and against every real entity of the corpus; those that clash draw
 again with the next attempt number until none does. So distinct entities stay
-distinct, and one entity gets one surrogate wherever it occurs.
+distinct, and one entity gets one surrogate wherever it occurs. Family names
+are settled first, as entities of their own that every full name looks up.
+Each further attempt adds a syllable to a name, so names do not run out.
 
 Only documents that hold an entity are taken apart and joined; the others pass
 through. Occurrences meet their surrogate in a plain join on the entity, which
@@ -131,30 +133,46 @@ def _pick(values: tuple[str, ...], n: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), n % len(values) + 1)
 
 
-def _name(norm: Column, gender: Column, key: str, attempt: Column) -> Column:
-    """Names part by part: the last is a family name, others given names."""
-    script = F.when(norm.rlike(r"\p{IsCyrillic}"), "cyrillic").when(norm.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+def _script(name: Column) -> Column:
+    return F.when(name.rlike(r"\p{IsCyrillic}"), "cyrillic").when(name.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+
+
+def _syllables(values: tuple[str, ...], seed: Column, first: int, n: Column) -> Column:
+    """n syllables, drawn from place ``first`` on, as one capitalised word."""
+    drawn = F.transform(F.sequence(F.lit(first), n + (first - 1)), lambda j: _pick(values, _draw(seed, j)))
+    return F.initcap(F.array_join(drawn, ""))
+
+
+def _family(norm: Column, key: str, attempt: Column) -> Column:
+    """A family name of three syllables, and one more for each attempt."""
+    seed = F.sha2(F.concat_ws("|", F.lit(key), F.lit("family"), norm, attempt.cast("string")), 512)
+    out = F
+    for s, syl in SYLLABLES.items():
+        out = out.when(_script(norm) == s, _syllables(syl, seed, 1, attempt + 3))
+    return out
+
+
+def _name(norm: Column, gender: Column, key: str, attempt: Column, family: Column) -> Column:
+    """Names part by part: the last is ``family``, others given names."""
     parts = F.split(norm, " ")
 
-    def part(p: Column, i: Column) -> Column:
-        last = i == F.size(parts) - 1
-        seed = F.sha2(F.concat_ws("|", F.lit(key), F.when(last, "family").otherwise(gender), p, attempt.cast("string")), 512)
+    def given(p: Column) -> Column:
+        seed = F.sha2(F.concat_ws("|", F.lit(key), gender, p, attempt.cast("string")), 512)
         out = F
         for s, syl in SYLLABLES.items():
-            family = F.initcap(F.concat(*(_pick(syl, _draw(seed, F.lit(j))) for j in (1, 2, 3))))
-            given = F.when(gender == "f", _pick(GIVEN[s, "f"], _draw(seed, F.lit(1)))).otherwise(
+            one = F.when(gender == "f", _pick(GIVEN[s, "f"], _draw(seed, F.lit(1)))).otherwise(
                 _pick(GIVEN[s, "m"], _draw(seed, F.lit(1))))
-            # Given names are few: a further attempt adds a second one.
-            given = F.when(attempt > 0, F.concat(given, F.lit("-"), F.initcap(_pick(syl, _draw(seed, F.lit(2))))))\
-                .otherwise(given)
-            out = out.when(script == s, F.when(last, family).otherwise(given))
+            # Given names are few: a further attempt adds syllables.
+            one = F.when(attempt > 0, F.concat(one, F.lit("-"), _syllables(syl, seed, 2, attempt))).otherwise(one)
+            out = out.when(_script(p) == s, one)
         return out
 
-    return F.array_join(F.transform(parts, part), " ")
+    return F.array_join(F.concat(F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), given), F.array(family)), " ")
 
 
-def surrogate(kind: Column, norm: Column, gender: Column, key: str, attempt: Column) -> Column:
-    """The stand-in for a normal form at an attempt number."""
+def surrogate(kind: Column, norm: Column, gender: Column, key: str, attempt: Column, family: Column) -> Column:
+    """The stand-in for a normal form at an attempt number; ``family`` is the
+    family name's, for names."""
     seed = F.sha2(F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string")), 512)
     at = F.locate("@", norm)
     tld = F.element_at(F.split(norm, r"\."), -1)
@@ -176,7 +194,7 @@ def surrogate(kind: Column, norm: Column, gender: Column, key: str, attempt: Col
             .when(kind == "card", card).when(kind == "phone", F.regexp_replace(phone, "^\\+(\\d+) ", "+$1 "))
             .when(kind == "iban", _masked(norm, seed, 2)).when(kind == "access", _masked(norm, seed, 4))
             .when(norm.rlike("^[0-9a-f]{8,}$"), hexed)
-            .when(norm.rlike("^[0-9A-F]{8,}$"), upper_hexed).when(kind == "name", _name(norm, gender, key, attempt))
+            .when(norm.rlike("^[0-9A-F]{8,}$"), upper_hexed).when(kind == "name", _name(norm, gender, key, attempt, family))
             .otherwise(_masked(norm, seed)))
 
 
@@ -225,15 +243,11 @@ def entities(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage(hits, "pii-hits"), docs.where(~has)
 
 
-def surrogate_table(found: DataFrame, key: str) -> DataFrame:
-    """kind, norm, gender, core: one row per distinct entity, surrogates
-    distinct from each other and from every real entity."""
-    known = stage(found.where("kind is not null").groupBy("kind", "norm").agg(F.min("gender").alias("gender")), "pii-entities")
-    real = known.select(F.col("norm").alias("core")).distinct()
+def _settled(known: DataFrame, real: DataFrame, drawn: Column) -> DataFrame:
+    """known with ``core``: ``drawn`` at the first attempt that clashes neither
+    with another row's nor with a real entity (``real``: core)."""
     attempt = 0
-    make = lambda df: df.withColumn("core", surrogate(
-        F.col("kind"), F.col("norm"), F.col("gender"), key, F.col("attempt")))
-    table = stage(make(known.withColumn("attempt", F.lit(0))), "pii-surrogates")
+    table = stage(known.withColumn("attempt", F.lit(0)).withColumn("core", drawn), "pii-surrogates")
     while True:
         # Of those that drew one surrogate, the earliest attempt and first
         # entity keeps it; it must not be anyone's real value either.
@@ -242,12 +256,29 @@ def surrogate_table(found: DataFrame, key: str) -> DataFrame:
         clash = stage(lost.select("kind", "norm").unionByName(
             table.join(real, "core", "left_semi").select("kind", "norm")).distinct(), "pii-clashes")
         if clash.isEmpty():
-            return table.select("kind", "norm", "gender", "core")
+            return table.drop("attempt")
         attempt += 1
-        again = make(table.join(clash, ["kind", "norm"], "left_semi").drop("core").withColumn("attempt", F.lit(attempt)))
+        again = table.join(clash, ["kind", "norm"], "left_semi").drop("core").withColumn(
+            "attempt", F.lit(attempt)).withColumn("core", drawn)
         table = stage(table.join(clash, ["kind", "norm"], "left_anti").unionByName(again), "pii-surrogates")
 
 
+def surrogate_table(found: DataFrame, key: str) -> DataFrame:
+    """kind, norm, gender, core: one row per distinct entity, surrogates
+    distinct from each other and from every real entity."""
+    known = stage(found.where("kind is not null").groupBy("kind", "norm").agg(F.min("gender").alias("gender")), "pii-entities")
+    names = known.where("kind = 'name'").withColumn("family", F.element_at(F.split("norm", " "), -1))
+    families = names.select(F.lit("family").alias("kind"), F.col("family").alias("norm")).distinct()
+    real = known.unionByName(families, allowMissingColumns=True).select(F.col("norm").alias("core")).distinct()
+    heads = _settled(families, real, _family(F.col("norm"), key, F.col("attempt")))
+    named = names.join(heads.select(F.col("norm").alias("family"), F.col("core").alias("head")), "family").drop("family")
+    # A name of one part is its family name, which is settled: of a surrogate
+    # drawn twice, names ("name" < "secret") keep theirs.
+    known = named.unionByName(known.where("kind <> 'name'"), allowMissingColumns=True)
+    return _settled(known, real, surrogate(
+        F.col("kind"), F.col("norm"), F.col("gender"), key, F.col("attempt"), F.col("head"))).drop("head")
+
+
 def replace_entities(docs: DataFrame, key: str = "surrogates") -> DataFrame:
     """docs with every entity in ``text`` replaced, plus ``entities`` (array of
     struct<at, kind, surrogate>, empty for other documents)."""
