@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from tidemark.operators import candles as C
 from tidemark.operators import incremental as INC
 from tidemark.operators import positions as P

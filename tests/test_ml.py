@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF0001, SF001
+from paths import SF0001, SF001
 from tidemark.operators import candles as C
 from tidemark.operators import ml
 from tidemark.plans import gold as G

@@ -3,7 +3,7 @@
 
 import pytest
 
-from conftest import SF001
+from paths import SF001
 from oracle_compare import compare, duck
 from tidemark.plans import registry as R
 

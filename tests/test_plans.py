@@ -1,7 +1,7 @@
 """Physical plan checks: no single-partition exchange under the windows, no
 Python evaluation in feature plans, pruned scans, bounded top-k."""
 
-from conftest import SF001
+from paths import SF001
 from tidemark.operators import candles as C
 from tidemark.plans import dashboard as D
 from tidemark.plans import registry as R

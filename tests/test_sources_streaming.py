@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from paths import SF0001
 from tidemark.operators import candles as C
 from tidemark.plans.features import build_features
 from tidemark.sources import sinks

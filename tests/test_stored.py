@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from tidemark import session
 from tidemark.operators import incremental, positions as P
 from tidemark.operators.scan import ewm
