@@ -26,7 +26,6 @@ def texts(spark):
 @pytest.fixture(scope="module")
 def byte_library():
     t = Tokenizer.from_file(registry.tokenizer_file(registry.BYTE_BPE))
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 

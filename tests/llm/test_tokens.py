@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidemark.llm import packing, piece_bpe, token_frames
-from tidemark.llm.byte_bpe import ByteBpe
+from tidemark.llm.byte_bpe import ByteBpe, encoder
 from tidemark.llm.common import shared_path
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,7 +28,6 @@ texts = st.lists(st.sampled_from(ALPHABET), max_size=40).map("".join)
 @pytest.fixture(scope="module")
 def byte_library():
     t = Tokenizer.from_file(BYTE)
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
@@ -40,8 +39,27 @@ def pieces():
 @settings(max_examples=300, deadline=None)
 @given(st.lists(texts, max_size=6))
 def test_byte_ids_equal_library(byte_library, batch):
-    enc = test_byte_ids_equal_library.__dict__.setdefault("enc", ByteBpe(BYTE, memo_words=40))
-    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(batch)] == [byte_library(t) for t in batch]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(BYTE).encode(batch)] == [byte_library(t) for t in batch]
+
+
+def test_added_tokens_and_long_runs_equal_library(byte_library):
+    enc = ByteBpe(BYTE)
+    for t in ("a <|endoftext|> b", "<|endoftext|><|endoftext|>", " <|endoftext|>\n", "x" * 1_000_000, " " * 1_000_000 + "y",
+              "\n" * 500_000, "ab" * 300_000 + " <|endoftext|>"):
+        assert np.frombuffer(enc.encode([t])[0], "<u4").tolist() == byte_library(t)
+    assert np.frombuffer(enc.encode(["a <|endoftext|> b"])[0], "<u4").tolist() == [64, 220, 50256, 275]
+    plain = Tokenizer.from_file(BYTE)
+    plain.encode_special_tokens = True
+    t = "a <|endoftext|> b"
+    assert (np.frombuffer(ByteBpe(BYTE, plain_specials=True).encode([t])[0], "<u4").tolist()
+            == plain.encode(t, add_special_tokens=False).ids)
+
+
+def test_long_word_equals_library(pieces):
+    own, lib = pieces
+    rng = random.Random(4)
+    word = "".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000))
+    assert own.encode(word) == lib.encode(word, add_eos=True)
 
 
 @settings(max_examples=500, deadline=None)

@@ -1,30 +1,25 @@
-"""Token ids of the tokenizers library, each distinct word encoded once.
-
-The byte-level pre-tokenizer never joins characters across a space that a
-non-space character follows: its pattern has no look-behind, a piece holds a
-space only as its first character, and a white-space run gives its last space
-to the next piece. So a text cut at these spaces encodes word by word. A word
-not met before is split by the pre-tokenizer's own pattern, and pieces not met
-before go to the library's model without a second split. The ids equal those
-of the library over the whole text (tests compare them).
+"""Token ids of a byte-level vocabulary file of the tokenizers library.
+
+The file's vocabulary gives each token's bytes, and its ids are the order of
+its merges, so tiktoken's merging loop runs on it as it stands: several times
+as fast on words seen for the first time as the library, with the same ids
+(tests compare them on random and on all given texts). A file that is built
+another way, and a text that tiktoken gives up, go to the library itself.
+
+Added tokens. As the library does by default, the strings of added tokens
+(``<|endoftext|>``) stand for themselves in a text. With ``plain_specials``
+they are ordinary text.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 from array import array
 from collections.abc import Sequence
 
-_CUT = re.compile(r" (?=\S)")
-#: A space that white space or the text's end follows: cut by the slower rule.
-_LOOSE = re.compile(r" (?:\s|\Z)")
-#: One piece by itself: letters alone, as most words are.
-_PLAIN = re.compile(r" ?[^\W\d_]+\Z")
-MEMO_WORDS = 300_000
-
 
-def _shown_bytes() -> dict[int, int]:
+def shown_bytes() -> dict[int, int]:
     """The byte-level vocabularies' spelling: printable Latin-1 characters
     stand for their own byte, the other bytes for 256, 257, ... in order."""
     own = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -32,94 +27,66 @@ def _shown_bytes() -> dict[int, int]:
     return {b: b for b in own} | {b: 256 + i for i, b in enumerate(rest)}
 
 
-_SHOWN = _shown_bytes()
-_LINE = chr(_SHOWN.pop(10))  # spelt after the join by lines is undone
+def token_bytes(path: str) -> dict[bytes, int]:
+    """The bytes of every token but the added ones, and its id."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    byte = {chr(shown): b for b, shown in shown_bytes().items()}
+    added = {t["content"] for t in file["added_tokens"]}
+    return {bytes([byte[c] for c in token]): i for token, i in file["model"]["vocab"].items() if token not in added}
 
 
-class ByteBpe:
-    """Encoder for one byte-level vocabulary file of the tokenizers library.
+def _merges_by_id(path: str) -> bool:
+    """Whether the file is a plain byte-level one whose merges stand in the
+    order of their ids and whose added tokens have no rules of their own."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, pre = file["model"], file["pre_tokenizer"] or {}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    ids = [model["vocab"]["".join(m)] for m in pairs]
+    rules = ("single_word", "lstrip", "rstrip", "normalized")
+    return (model["type"] == "BPE" and file["normalizer"] is None and pre.get("type") == "ByteLevel"
+            and pre.get("use_regex", True) and not pre.get("add_prefix_space") and ids == sorted(ids)
+            and not any(t.get(r) for t in file["added_tokens"] for r in rules))
+
 
-    It keeps the ids of at most twice ``memo_words`` words: when the newer
-    half is full it becomes the older one, and words met again move up.
-    """
+class ByteBpe:
+    """Encoder for one vocabulary file."""
 
-    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
+    def __init__(self, path: str, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         import public_tokenizers
-        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._tok.pre_tokenizer = None  # pieces come split, with bytes as the vocabulary writes them
-        self._split = regex.compile(public_tokenizers.PATTERN).findall
-        self._size = memo_words
-        self._old: dict[str, bytes] = {}
-        self._now: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Ids of pieces that the pattern does not split further."""
-        for at in range(0, len(pieces), 8192):
-            part = pieces[at:at + 8192]
-            shown = "\n".join(part).encode().decode("latin-1").translate(_SHOWN).split("\n")
-            if len(shown) != len(part):  # a piece holds a line feed
-                shown = [p.encode().decode("latin-1").translate(_SHOWN).replace("\n", _LINE) for p in part]
-            got = self._tok.encode_batch_fast(shown, add_special_tokens=False)
-            self._now.update(zip(part, [array("I", e.ids).tobytes() for e in got], strict=True))
-
-    def _know(self, words: set[str]) -> dict[str, bytes]:
-        """A mapping that holds every one of ``words``."""
-        if len(self._now) > self._size:
-            self._old, self._now = self._now, {}
-        now, old = self._now, self._old
-        plain, lines, split = [], set(), {}
-
-        def missing(p: str) -> bool:
-            if p in now:
-                return False
-            if p in old:
-                now[p] = old[p]
-                return False
-            return True
-
-        for w in words - now.keys():
-            if missing(w):
-                if _PLAIN.match(w):
-                    plain.append(w)
-                else:
-                    split[w] = self._split(w)
-        self._learn(plain)
-        pieces = {p for s in split.values() for p in s}
-        for p in pieces:
-            if missing(p):
-                lines.add(p)
-        self._learn([p for p in lines if "\n" not in p])
-        self._learn([p for p in lines if "\n" in p])
-        for w, s in split.items():
-            now[w] = b"".join([now[p] for p in s])
-        return now
+        self._library = Tokenizer.from_file(path)
+        self._library.encode_special_tokens = plain_specials
+        self._fast = None
+        if _merges_by_id(path):
+            added = {t.content: i for i, t in self._library.get_added_tokens_decoder().items()}
+            tk = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN,
+                                   mergeable_ranks=token_bytes(path), special_tokens=added)
+            self._fast = tk.encode_ordinary if plain_specials else lambda t: tk.encode(t, allowed_special="all")
+
+    def _ids(self, text: str) -> Sequence[int]:
+        if self._fast is not None:
+            try:
+                return self._fast(text)
+            except ValueError:  # its pattern gave up
+                pass
+        return self._library.encode(text, add_special_tokens=False).ids
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null
         or empty text has none."""
-        cut, words = [], set()
-        for t in texts:
-            if t:
-                c = _CUT.split(t) if _LOOSE.search(t) else t.split(" ")
-                c = [c[0], *[" " + w for w in c[1:]]]
-                words.update(c)
-            else:
-                c = []
-            cut.append(c)
-        known = self._know(words).__getitem__
-        return [b"".join(map(known, c)) for c in cut]
+        return [array("I", self._ids(t)).tobytes() if t else b"" for t in texts]
 
 
 _encoders: dict[str, ByteBpe] = {}
 
 
 def encoder(path: str) -> ByteBpe:
-    """The worker process's encoder: words stay known from task to task."""
+    """The worker process's encoder, made once."""
     if path not in _encoders:
         _encoders[path] = ByteBpe(path)
     return _encoders[path]

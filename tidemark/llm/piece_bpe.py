@@ -31,12 +31,12 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.byte_bpe import MEMO_WORDS
 from tidemark.llm.common import sub_batches
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _UNK_TEXT = " ⁇ "
+MEMO_WORDS = 300_000
 
 
 class PieceBpe:
@@ -124,13 +124,13 @@ class PieceBpe:
             if len(piece) > len(longest[at]):
                 longest[at] = piece
         out: list[str] = []
-        live = (1 << (n + 1)) - 1  # bit p: no failure known from position p
+        live = bytearray(b"\1") * (n + 1)  # place p: no failure known from there
         at, piece = 0, longest[0] if n else None
         while at < n:
             last = out[-1] if out else ""
             while piece is not None:
                 end = at + len(piece)
-                if live >> end & 1 and self._compatible(last, piece):
+                if live[end] and self._compatible(last, piece):
                     break
                 piece = self._shorter(piece)
             if piece is not None:
@@ -138,7 +138,7 @@ class PieceBpe:
                 at = end
                 piece = longest[at] if at < n else None
             else:  # no way on from here: step back to the piece before
-                live &= ~(1 << at)
+                live[at] = 0
                 back = out.pop()
                 at -= len(back)
                 piece = self._shorter(back)
