@@ -222,3 +222,13 @@ def test_packing_places_every_token(spark, odd_docs, no_docs, byte_library):
             assert all(len(i) == 64 for _, _, i in ps[1:])
     assert sum(r["length"] for r in rows) == sum(len(i) * k for (_, i), k in want.items())
     assert packing.pack(no_docs, BYTE).collect() == []
+
+
+def test_hot_doc_id_takes_several_files(spark):
+    docs = spark.range(0, 4_000, 1, 8).selectExpr("if(id % 3 = 0, 7L, id) as doc_id", "concat('text ', id) as text")
+    path = shared_path(spark, "hot-frames")
+    manifest = token_frames.write_token_files(docs, path, BYTE)
+    n = [r["n_docs"] for r in manifest.collect()]
+    assert len(n) == 8 and max(n) < 1_000
+    got = token_frames.read_token_files(spark, path, manifest, doc_ids=[7])
+    assert got.count() == docs.where("doc_id = 7").count()

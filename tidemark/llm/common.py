@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.sinks import stage
 
-__all__ = ["stage", "shared_path", "table", "sub_batches", "doc_crc", "bounded_sample"]
+__all__ = ["stage", "shared_path", "table", "sub_batches", "doc_crc", "bounded_sample", "heavy_join"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,3 +47,19 @@ def bounded_sample(df: DataFrame, key: str, bound: int, rows: int | None = None)
         return df
     cut = int(bound / n * (1 << 30))
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30)) < cut)
+
+
+def heavy_join(rows: DataFrame, facts: DataFrame, key: str, copies: str, heavy: int) -> DataFrame:
+    """rows with the facts of their key (left join); facts hold one row a key
+    and in ``copies`` how many rows have it. Keys of more than 1 / ``heavy`` of
+    all rows are fewer than ``heavy``: their facts are broadcast, so no hot key
+    is shuffled; the others meet by a shuffle join. Rows without a key stay
+    where they are."""
+    total = facts.agg(F.sum(copies)).first()[0] or 0
+    hot = F.col(copies) > total / heavy
+    often = facts.where(hot).drop(copies)
+    rest = rows.join(F.broadcast(often.select(key)), key, "left_anti")
+    light = rest.where(F.col(key).isNotNull()).join(facts.where(~hot).drop(copies).hint("merge"), key, "left")
+    none = rest.where(F.col(key).isNull())
+    return (rows.join(F.broadcast(often), key).unionByName(light)
+            .unionByName(none, allowMissingColumns=True))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    cover_tree, language_mixture, packing, permutation_index, pii_surrogates, piece_bpe, quality_gbdt,
-    simhash_golay, token_frames, url_logistic,
+    cover_tree, importance_resampling, language_mixture, packing, permutation_index, pii_surrogates, piece_bpe,
+    quality_gbdt, scaled_sketch, simhash_golay, token_alignment, token_frames, url_logistic,
 )
 from tidemark.llm.common import bounded_sample, doc_crc, shared_path, table
 
@@ -36,14 +36,15 @@ def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_trees(docs: DataFrame, labels: DataFrame) -> quality_gbdt.Trees:
-    return quality_gbdt.learn(docs, labels.where(doc_crc() % 5 != 0))
+    return quality_gbdt.learn(docs, labels.where(F.coalesce(doc_crc(), F.lit(1)) % 5 != 0))
 
 
 def op3_quality_gbdt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality_gbdt.predict(docs, quality_trees(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", (doc_crc() % 5 == 0).alias("held_out"), "score", "predicted")
+    held_out = F.coalesce(doc_crc() % 5 == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op4_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +101,25 @@ def op10_config_lp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), 2048, end_id=0)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in every document."""
+    return token_alignment.align_table(
+        table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), tokenizer_file(PIECE_BPE))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight of every document for the benchmark's distribution,
+    and the draw of 5 % of them."""
+    return importance_resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+def op13_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return scaled_sketch.edited_table(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline (corpus_pipeline.py) over documents."""
     import corpus_pipeline
@@ -109,7 +129,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_cover_tree_topk, op2_permutation_index, op3_quality_gbdt, op4_simhash_golay, op5_pii_surrogates,
-    op6_url_logistic, op7_piece_bpe, op8_language_mixture, op9_token_frames, op10_config_lp_packing, pipeline)}
+    op6_url_logistic, op7_piece_bpe, op8_language_mixture, op9_token_frames, op10_config_lp_packing,
+    op11_token_alignment, op12_importance_resampling, op13_scaled_sketch, pipeline)}
 
 ORACLE = {
     "op1_cover_tree_topk": """

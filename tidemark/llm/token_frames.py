@@ -13,14 +13,14 @@ skippable frames follow, so any zstandard reader still decodes the whole file:
 A reader fetches the file's tail, finds the frames it wants and reads just
 those byte ranges; a frame whose checksum differs raises.
 
-Each Spark partition of a range partitioning by doc_id becomes one file. A
-task writes under a name of its own attempt and renames at the end, so a
+Each Spark partition of a range partitioning by doc_id, and by the row's place
+in the table among equal ids, becomes one file. A task writes under a name of its own attempt and renames at the end, so a
 repeated or speculative task replaces the file with the same bytes. Counts of
 documents and ids per file go to a manifest table beside the files.
 
 Defined cases: a null text counts as empty; every document ends with the end
 id; null doc_ids come first and repeated doc_ids are separate documents next
-to each other; an empty table gives no file and an empty manifest; other
+to each other, in the table's order; an empty table gives no file and an empty manifest; other
 columns are not read.
 """
 
@@ -154,7 +154,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                 "file_no": pa.array([no], pa.int32()), "name": [name],
                 "n_docs": pa.array([n_docs], pa.int64()), "n_tokens": pa.array([n_tokens], pa.int64())})
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # The row's place in the table ends ties: a doc_id of many rows is cut into
+    # several files, and a repeated task writes the same frames.
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    ordered = rows.repartitionByRange("doc_id", "_row").sortWithinPartitions("doc_id", "_row").drop("_row")
     return stage(ordered.mapInArrow(write, MANIFEST), "token-manifest")
 
 
