@@ -24,12 +24,6 @@ Plan.
    than 1 / ``HEAVY`` of all rows, fewer than ``HEAVY`` by count, are joined
    by broadcast, so no hot text is shuffled.
 
-Cells. Both tokenizers split before a single space that follows a non-space
-and precedes a character that is no white space (for B checked at load), so
-texts are cut there and each distinct cell of a worker's recent texts is
-encoded and aligned once; groups never cross cells. A vocabulary that fails
-the check is aligned by whole texts.
-
 Defined cases: a null or empty text, or one whose joined A or B bytes differ
 from space + text (a literal word mark), has no tokens: zeros and an empty
 string. Repeated rows stay rows; null doc_ids stay; an empty table gives no
@@ -39,7 +33,6 @@ rows; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -51,113 +44,88 @@ from tidemark.llm.byte_bpe import ByteBpe, token_bytes
 from tidemark.llm.common import heavy_join, stage, sub_batches
 
 MARK = "▁"
-_CELL = re.compile(r"(?<! ) (?=\S)")
-#: A space that white space or the text's end follows: cut by the slower rule.
-_LOOSE = re.compile(r" (?:\s|\Z)")
-MEMO_CELLS = 200_000
 #: Pairs valued by broadcast, 16 bytes each; dictionary entries per task.
 HELD_PAIRS, TASK_PAIRS = 1 << 20, 1 << 18
 HEAVY = 1_000
 
 
 class Aligner:
-    """Encodes and aligns cells; keeps at most twice ``memo_cells`` of them."""
+    """Encodes whole texts with both tokenizers and aligns them, a batch of
+    texts at a time: their bytes lie one behind the other, and marks at token
+    ends give links and groups of all texts in a few array steps."""
 
-    def __init__(self, a_path: str, b_path: str, memo_cells: int = MEMO_CELLS):
+    def __init__(self, a_path: str, b_path: str):
         import sentencepiece
 
         self._a = ByteBpe(a_path, plain_specials=True)
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         tokens = token_bytes(a_path)
         size = max(tokens.values()) + 1
-        self.a_bytes = [b""] * size
+        self._a_bytes = [b""] * size
         for token, i in tokens.items():
-            self.a_bytes[i] = token
-        self.b_bytes, spanning = [], False
+            self._a_bytes[i] = token
+        self._b_bytes = []
         for i in range(self._b.get_piece_size()):
             piece = self._b.id_to_piece(i)
-            plain = not (self._b.is_byte(i) or self._b.is_control(i) or self._b.is_unknown(i))
-            self.b_bytes.append(bytes([int(piece[3:-1], 16)]) if self._b.is_byte(i)
-                                else piece.replace(MARK, " ").encode() if plain else b"")
-            spanning |= plain and MARK in piece.lstrip(MARK)
-        probe = " ééﬁ  　A\n\t "
-        self._by_cell = not spanning and self._b.normalize(probe) == MARK + probe.replace(" ", MARK)
-        self._a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
-        self._b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
+            self._b_bytes.append(bytes([int(piece[3:-1], 16)]) if self._b.is_byte(i)
+                                 else b"" if self._b.is_control(i) or self._b.is_unknown(i)
+                                 else piece.replace(MARK, " ").encode())
+        self._a_len = np.array([len(x) for x in self._a_bytes], dtype=np.int64)
+        self._b_len = np.array([len(x) for x in self._b_bytes], dtype=np.int64)
         #: A pair's code: its A id times ``base`` plus its B id.
-        self.base = len(self.b_bytes)
+        self.base = len(self._b_bytes)
         self.code = "<u4" if size * self.base <= 1 << 32 else "<u8"
-        self._size, self._old, self._now = memo_cells, {}, {}
-
-    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
-        """Codes of all links, in order, and the groups' bounds (a from, a to,
-        b from, b to) of two id sequences over the same bytes."""
-        ea, eb = np.cumsum(self._a_len[a]), np.cumsum(self._b_len[b])
-        ends = np.union1d(ea, eb)
-        ia, ib = np.searchsorted(ea, ends), np.searchsorted(eb, ends)
-        codes = a[ia].astype(np.int64) * self.base + b[ib]
-        both = np.intersect1d(ea, eb)
-        ga, gb = (np.searchsorted(ea, both) + 1).tolist(), (np.searchsorted(eb, both) + 1).tolist()
-        return codes, list(zip([0, *ga[:-1]], ga, [0, *gb[:-1]], gb, strict=True))
-
-    def _learn(self, cells: list[str]) -> None:
-        for at in range(0, len(cells), 4096):
-            part = cells[at:at + 4096]
-            both = zip(part, self._a.encode(part), self._b.encode([c[1:] for c in part], num_threads=1), strict=True)
-            for cell, a_ids, b in both:
-                a = np.frombuffer(a_ids, "<u4")
-                al, whole = a.tolist(), cell.encode()
-                if (b"".join([self.a_bytes[i] for i in al]) != whole
-                        or b"".join([self.b_bytes[i] for i in b]) != whole):
-                    self._now[cell] = None
-                elif len(al) == 1 or len(b) == 1:  # one group, all linked
-                    codes = [x * self.base + y for x in al for y in b]
-                    text = ",".join(map(str, al)) + "|" + ",".join(map(str, b))
-                    self._now[cell] = (np.array(codes, self.code).tobytes(), text.encode(), len(al))
-                else:
-                    codes, groups = self.align(a, np.array(b))
-                    text = ";".join(",".join(map(str, al[i:j])) + "|" + ",".join(map(str, b[k:n]))
-                                    for i, j, k, n in groups)
-                    self._now[cell] = (codes.astype(self.code).tobytes(), text.encode(), len(al))
-
-    def texts(self, texts: Sequence[str | None]) -> list[tuple[bytes, bytes, int] | None]:
-        """Per text the codes of its links, its groups as text and its number
-        of A tokens; None where it has no tokens."""
-        cut, cells = [], set()
-        for t in texts:
-            c = [] if not t else [x for x in self._cells(t) if x]
-            cut.append(c)
-            cells.update(c)
-        if len(self._now) > self._size:
-            self._old, self._now = self._now, {}
-        now, old, new = self._now, self._old, []
-        for c in cells:
-            if c not in now:
-                if c in old:
-                    now[c] = old[c]
-                else:
-                    new.append(c)
-        self._learn(new)
-        out = []
-        for c in cut:
-            got = [now[x] for x in c]
-            out.append(None if not got or None in got else (
-                b"".join([g[0] for g in got]), b";".join([g[1] for g in got]), sum([g[2] for g in got])))
+        self._ids = max(size, self.base)
+        self._shown = [f"{i}{end}".encode() for end in ",|;" for i in range(self._ids)]
+
+    def texts(self, texts: Sequence[str]) -> list[tuple[np.ndarray, bytes, int, int, int] | None]:
+        """Per text the codes of its links, its groups as text, and how many A
+        tokens, B tokens and groups it has; None where it has no tokens."""
+        out: list = [None] * len(texts)
+        kept, a_ids, b_ids, sizes = [], [], [], []
+        both = zip(texts, self._a.encode([" " + t for t in texts]), self._b.encode(list(texts), num_threads=1), strict=True)
+        for row, (text, a, b) in enumerate(both):
+            a, whole = np.frombuffer(a, "<u4"), b" " + text.encode()
+            if (text and b"".join(map(self._a_bytes.__getitem__, a.tolist())) == whole
+                    and b"".join(map(self._b_bytes.__getitem__, b)) == whole):
+                kept.append(row), a_ids.append(a.astype(np.int64)), b_ids.append(np.array(b, np.int64)), sizes.append(len(whole))
+        if not kept:
+            return out
+        a, b = np.concatenate(a_ids), np.concatenate(b_ids)
+        ends = np.zeros((2, sum(sizes) + 1), dtype=bool)
+        ends[0, np.cumsum(self._a_len[a])] = True
+        ends[1, np.cumsum(self._b_len[b])] = True
+        at = np.flatnonzero(ends.any(axis=0))       # every end of a token closes one link
+        shared = np.flatnonzero(ends.all(axis=0))   # every shared end closes one group
+        # Tokens that end before a place: the token that covers it is the next.
+        a_before, b_before = (np.cumsum(e) - e for e in ends)
+        codes = (a[a_before[at]] * self.base + b[b_before[at]]).astype(self.code)
+        a_to, b_to = a_before[shared] + 1, b_before[shared] + 1
+        a_from, b_from = np.concatenate([[0], a_to[:-1]]), np.concatenate([[0], b_to[:-1]])
+        na, nb = a_to - a_from, b_to - b_from
+        first = np.cumsum(na + nb) - na - nb
+        shown = np.empty(len(a) + len(b), dtype=np.int64)
+        shown[np.repeat(first - a_from, na) + np.arange(len(a))] = a
+        shown[np.repeat(first + na - b_from, nb) + np.arange(len(b))] = b
+        shown[first + na - 1] += self._ids          # the group's last A id
+        shown[first + na + nb - 1] += 2 * self._ids
+        parts = list(map(self._shown.__getitem__, shown.tolist()))
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        link_at = np.searchsorted(at, bounds, "right")
+        group_at = np.searchsorted(shared, bounds, "right")
+        part_at = np.concatenate([first, [len(parts)]])[group_at].tolist()
+        link_at, group_at = link_at.tolist(), group_at.tolist()
+        for k, row in enumerate(kept):
+            out[row] = (codes[link_at[k]:link_at[k + 1]], b"".join(parts[part_at[k]:part_at[k + 1]])[:-1],
+                        len(a_ids[k]), len(b_ids[k]), group_at[k + 1] - group_at[k])
         return out
 
-    def _cells(self, text: str) -> list[str]:
-        text = " " + text
-        if not self._by_cell:
-            return [text]
-        c = _CELL.split(text) if _LOOSE.search(text) else text.split(" ")
-        return [*c[:1], *[" " + x for x in c[1:]]]
-
 
 _aligners: dict[tuple[str, str], Aligner] = {}
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:
-    """The worker process's aligner: cells stay known from task to task."""
+    """The worker process's aligner, made once."""
     if (a_path, b_path) not in _aligners:
         _aligners[a_path, b_path] = Aligner(a_path, b_path)
     return _aligners[a_path, b_path]
@@ -190,12 +158,10 @@ def align_texts(texts: DataFrame, a_path: str, b_path: str, digest: bool = True)
                 if got is None:
                     rows.append((key, copies, 0, 0, 0, 0, "", b"", b""))
                     continue
-                codes, groups, n_a = got
-                pairs, links = np.unique(np.frombuffer(codes, al.code), return_counts=True)
-                n_links, n_groups = len(codes) // np.dtype(al.code).itemsize, groups.count(b";") + 1
+                codes, groups, n_a, n_b, n_groups = got
+                pairs, links = np.unique(codes, return_counts=True)
                 shown = hashlib.sha256(groups).hexdigest() if digest else groups.decode()
-                # Every end but the common ones starts one more link.
-                rows.append((key, copies, n_a, n_links + n_groups - n_a, n_groups, n_links, shown,
+                rows.append((key, copies, n_a, n_b, n_groups, len(codes), shown,
                              pairs.tobytes(), links.astype("<u4").tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)],
