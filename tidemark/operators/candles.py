@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import cents
 from tidemark.operators import positions as P
-from tidemark.operators.scan import running_sum
+from tidemark.operators.scan import FAN, running_sum
 
 _TRUNC_UNITS = {"second", "minute", "hour", "day", "week", "month", "quarter", "year"}
 
@@ -73,17 +73,18 @@ def candle_shape(ticks: DataFrame, keys: Sequence[str] = ("series",),
 def growth_index(df: DataFrame, keys: Sequence[str] = ("series",),
                  order: Sequence[str] = ("open_time",), close: str = "close",
                  base: float = 100.0, digits: int = 4,
-                 block_rows: int = P.DEFAULT_BLOCK_ROWS, bucket_unit: str = "auto") -> DataFrame:
+                 block_rows: int = P.DEFAULT_BLOCK_ROWS, bucket_unit: str = "auto",
+                 fan: int = FAN) -> DataFrame:
     """Compounded growth ``base * exp(sum of log returns so far)`` per series.
 
     The running sum is a block scan (local sums plus a carry of earlier block
-    totals), so no window spans a whole series.
+    totals, added up by levels of ``fan``), so no window spans a whole series.
     """
     x = P.halo_blocks(P.with_position(df, keys, order, bucket_unit=bucket_unit,
                                       with_length=False), keys, block_rows, back=1)
     prev = F.lag(close, 1).over(P.block_window(keys))
     x = P.home_rows(x.withColumn("_lr", F.coalesce(F.ln(F.try_divide(F.col(close), prev)),
                                                      F.lit(0.0))), block_rows)
-    x = running_sum(x, keys, "_lr", "_cum_lr", block_rows)
+    x = running_sum(x, keys, "_lr", "_cum_lr", block_rows, fan)
     return x.select(*keys, *order, close,
                     F.round(F.lit(base) * F.exp(F.col("_cum_lr")), digits).alias("growth_index"))

@@ -65,7 +65,8 @@ def dropna_report(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
     )
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
+                  runs: bool = False) -> DataFrame:
     """Exact median of each column per key (NULL and NaN skipped; the two
     middle values interpolated for an even count, as SQL ``median``).
 
@@ -81,6 +82,11 @@ def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
     3. Only those partitions are ranked (a window per group and partition,
        at most one range partition of rows) and the two values are read off.
 
+    ``runs``: for columns whose values repeat (hours, months, rounded prices).
+    Equal values are counted first, with partial counts where they lie, so at
+    most one row per distinct value and task is shuffled; ranks then run on
+    cumulative counts. Without it every cell is a run of one.
+
     Returns one row per key with ``_med_<column>``.
     """
     from tidemark.sources.sinks import stage
@@ -94,11 +100,13 @@ def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
               .select(*keys, F.col(f"_cell.{name}").alias(name), F.col(f"_cell.{v}").alias(v))
               .filter(F.col(v).isNotNull()))
     g = [*keys, name]
+    long = (long.groupBy(*g, v).agg(F.count(F.lit(1)).alias("_w")) if runs
+            else long.withColumn("_w", F.lit(1).cast("bigint")))
     # Partition ids after a range exchange are increasing in (g, v), also
     # when AQE merges neighbouring partitions.
     tagged = stage(long.repartitionByRange(*g, v).withColumn(pid, F.spark_partition_id()),
                    "median_ranked")
-    counts = tagged.groupBy(*g, pid).agg(F.count(F.lit(1)).alias("_c"))
+    counts = tagged.groupBy(*g, pid).agg(F.sum("_w").alias("_c"))
     by_pid = Window.partitionBy(*g).orderBy(pid)
     ranges = counts.select(
         *g, pid, "_c",
@@ -117,9 +125,11 @@ def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
     need = stage(need, "median_need")
     parts = need.select(*g, pid).distinct()
     ranked = (tagged.join(parts, [*g, pid], "left_semi")
-                    .select(*g, pid, v, (F.row_number().over(
-                        Window.partitionBy(*g, pid).orderBy(v)) - 1).alias("_r")))
-    picked = ranked.join(need, [*g, pid, "_r"])
+                    .select(*g, pid, v, "_w", F.sum("_w").over(Window.partitionBy(*g, pid).orderBy(v).rowsBetween(
+                        Window.unboundedPreceding, 0)).alias("_to")))
+    # The run that holds a wanted rank: at most two ranks a group.
+    picked = ranked.join(need, [*g, pid]).where(
+        (F.col("_r") < F.col("_to")) & (F.col("_r") >= F.col("_to") - F.col("_w")))
     lo = F.max(F.when(F.col("_which") == 0, F.col(v)))
     hi = F.max(F.when(F.col("_which") == 1, F.col(v)))
     med = picked.groupBy(*g).agg((lo + (hi - lo) * 0.5).alias("_med"))

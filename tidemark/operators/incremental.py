@@ -50,7 +50,11 @@ class AppendResult:
 
 def new_only(new: DataFrame, existing: DataFrame, keys: Sequence[str],
              order: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose (keys, order) are not stored yet (left anti join)."""
+    """Rows of ``new`` whose (keys, order) are not stored yet (left anti join).
+
+    A stored table bucketed by (keys, order) (:func:`sinks.write_bucketed`) is
+    read where it lies: only the new rows are dealt out to its buckets.
+    """
     k = [*keys, *order]
     return new.join(existing.select(*k), k, "left_anti")
 

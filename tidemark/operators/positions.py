@@ -41,7 +41,7 @@ DEFAULT_BLOCK_ROWS = 4096
 # Numbering buckets: the coarsest unit whose fullest (series, bucket) stays
 # under TARGET_BUCKET_ROWS rows ("auto"), so a bucket is one bounded task and
 # the per-series table of bucket counts stays small.
-BUCKET_UNITS = ("day", "hour", "minute", "second")
+BUCKET_UNITS = ("day", "hour", "minute")
 TARGET_BUCKET_ROWS = 2_000_000
 
 
@@ -66,7 +66,7 @@ def choose_bucket_unit(df: DataFrame, keys: Sequence[str], time: str,
     for unit, most in zip(BUCKET_UNITS, top):
         if most <= target_rows:
             return unit
-    return "second"
+    return "range"
 
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
@@ -79,7 +79,8 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Add ``_pos`` (0-based position in the series by ``order``) and ``_n``.
 
     ``bucket`` groups rows for numbering; by default the first order column
-    truncated to ``bucket_unit`` (``"auto"``: :func:`choose_bucket_unit`). It
+    truncated to ``bucket_unit`` (``"auto"``: :func:`choose_bucket_unit`;
+    ``"range"``: sampled ranges of (keys, order), see ``ranges``). It
     must be monotone in ``order`` (a coarser copy of it), so buckets are
     contiguous runs of the series.
 
@@ -95,6 +96,12 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if bucket is None:
         if bucket_unit == "auto":
             bucket_unit = choose_bucket_unit(df, keys, order[0])
+        if bucket_unit == "range":
+            # Even a minute holds too many rows: buckets cut on the tie-break.
+            from tidemark.operators.ranges import with_range_position
+
+            rows = df if prepare is None else prepare(df.withColumn(BKT, F.lit(0))).drop(BKT)
+            return with_range_position(rows, keys, order, with_length)
         bucket = F.date_trunc(bucket_unit, F.col(order[0]))
     x = df.withColumn(BKT, bucket).repartition(*keys, BKT)
     if prepare is not None:

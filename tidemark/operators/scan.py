@@ -5,7 +5,11 @@ Both scans take a frame of *home rows* laid out by
 ``_blk``), so the work inside a block is one ordered window over at most
 ``block_rows`` rows, and what crosses block edges is one small row per block.
 
-``running_sum``  local cumulative sum + sum of all earlier block totals.
+``running_sum``  local cumulative sum + sum of all earlier block totals, which
+                 are added up by levels (``carried_sums``).
+
+``ewm_gaps``     exponential mean over columns with NULLs, a scan of composable
+                 runs by levels (``scan_levels``).
 
 ``ewm``          exponential mean ``y0 = x0``, ``y = (1-a) y' + a x``
                  (``a = 1/(1+com)``, the recursive / non-adjusted form).
@@ -19,29 +23,139 @@ Both scans take a frame of *home rows* laid out by
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.positions import BLK, POS
 from tidemark.sources.sinks import stage
 
 
+FAN = 1024          # rows of one level that one task adds up for the next
+
+
+def _last(df: DataFrame, at: str) -> int:
+    """The highest place in ``at``: the one number that sets the levels."""
+    top = df.agg(F.max(at)).first()[0]
+    return -1 if top is None else int(top)
+
+
+def carried_sums(totals: DataFrame, keys: Sequence[str], at: str, value: str, out: str,
+                 fan: int = FAN, last: int | None = None) -> DataFrame:
+    """``totals`` (one row per series and place ``at``) with ``out`` = the sum
+    of ``value`` over the earlier places of the series.
+
+    By levels: ``fan`` places are added up where they lie, their sums are
+    carried the same way one level up, and come back by a join on (series,
+    group). No window holds more than ``fan`` rows, however long a series is;
+    the depth is the logarithm of its length. Keys are compared as a struct,
+    in which NULLs are equal.
+    """
+    keys = list(keys)
+    last = _last(totals, at) if last is None else last
+    g, group = f"{at}_up", F.floor(F.col(at) / fan).cast("bigint")
+    w = Window.partitionBy(*keys, g).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0.0)
+    x = totals.withColumn(g, group).withColumn("_in", F.coalesce(F.sum(value).over(w), zero))
+    if last < fan:
+        return x.withColumn(out, F.col("_in")).drop(g, "_in")
+    up = totals.groupBy(*keys, group.alias(g)).agg(F.sum(value).alias("_v"))
+    up = carried_sums(up, keys, g, "_v", f"{g}_before", fan, last // fan)
+    key = F.struct(*[F.col(k) for k in keys], F.col(g)).alias("_key")
+    x = x.withColumn("_key", key).join(up.select(key, f"{g}_before"), "_key")
+    return x.withColumn(out, F.col(f"{g}_before") + F.col("_in")).drop(g, "_in", f"{g}_before", "_key")
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], value: str, out: str,
-                block_rows: int) -> DataFrame:
+                block_rows: int, fan: int = FAN) -> DataFrame:
     """Add ``out`` = sum of ``value`` over all earlier rows of the series and
     the row itself (NULL values count as 0)."""
     keys = list(keys)
     v = F.coalesce(F.col(value), F.lit(0.0))
     w = Window.partitionBy(*keys, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     local = stage(df.withColumn("_v", v).withColumn("_local", F.sum("_v").over(w)), "runsum")
-    totals = local.groupBy(*keys, BLK).agg(F.sum("_v").alias("_tot"))
-    by_key = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, BLK, F.sum("_tot").over(by_key).alias("_carry"))
-    return (local.join(carry, [*keys, BLK], "left")
-                 .withColumn(out, F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0.0)))
-                 .drop("_local", "_carry", "_v"))
+    totals = stage(local.groupBy(*keys, BLK).agg(F.sum("_v").alias("_tot")), "runsum-blocks")
+    key = F.struct(*[F.col(k) for k in keys], F.col(BLK)).alias("_key")
+    carry = carried_sums(totals, keys, BLK, "_tot", "_carry", fan).select(key, "_carry")
+    return (local.withColumn("_key", key).join(carry, "_key")
+                 .withColumn(out, F.col("_local") + F.col("_carry"))
+                 .drop("_local", "_carry", "_v", "_key"))
+
+
+def scan_levels(df: DataFrame, keys: Sequence[str], at: str, item: str,
+                compose: Callable[[Column, Column], Column], out: str,
+                fan: int = 64, last: int | None = None) -> DataFrame:
+    """Add ``out`` = the composition of ``item`` over all rows of the series up
+    to the row itself, for any associative ``compose(earlier, later)``.
+
+    Places ``at`` are 0, 1, 2, ... in each series. ``fan`` rows are folded where
+    they lie; the groups' compositions are scanned one level up and the one
+    before a group is composed with its rows. Written once per level.
+    """
+    keys = list(keys)
+    last = _last(df, at) if last is None else last
+    g = f"{at}_up"
+    w = Window.partitionBy(*keys, g).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    x = df.withColumn(g, F.floor(F.col(at) / fan).cast("bigint")).withColumn(
+        "_list", F.collect_list(item).over(w))
+    rest = F.slice("_list", F.lit(2), F.greatest(F.size("_list") - 1, F.lit(0)))
+    x = x.withColumn("_in", F.aggregate(rest, F.element_at("_list", 1), compose)).drop("_list")
+    if last < fan:
+        return x.withColumn(out, F.col("_in")).drop(g, "_in")
+    x = stage(x, "scan-level")
+    up = x.groupBy(*keys, g).agg(F.max_by("_in", at).alias("_item"))
+    up = scan_levels(up, keys, g, "_item", compose, f"{g}_to", fan, last // fan)
+    key = [F.col(k) for k in keys]
+    up = up.select(F.struct(*key, (F.col(g) + 1).alias("_at")).alias("_key"), f"{g}_to")
+    x = x.withColumn("_key", F.struct(*key, F.col(g).alias("_at"))).join(up, "_key", "left")
+    whole = F.when(F.col(f"{g}_to").isNull(), F.col("_in")).otherwise(compose(F.col(f"{g}_to"), F.col("_in")))
+    return x.withColumn(out, whole).drop(g, "_in", "_key", f"{g}_to")
+
+
+def ewm_gaps(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
+             fan: int = 64) -> DataFrame:
+    """Exponential means of columns with NULLs: a NULL row keeps the last mean
+    and lets its weight decay, as ``ewm(com, adjust=False)`` does; rows before
+    the first value have no mean. ``inputs`` maps output -> input column;
+    ``df`` is positioned (``_pos``).
+
+    The state is a mean ``y`` and its weight ``w``. A NULL turns w into d*w; a
+    value x turns y into (d*w*y + a*x) / (d*w + a) and w into 1. A run of rows
+    is kept as (seen, lead, x, scale, shift, weight): the first value x meets
+    the mean with weight w*lead, its result m leaves as scale*m + shift, and
+    the weight after the run is ``weight`` (without a value: w*lead). Two runs
+    compose to a third of the same form, whatever comes before them, so runs
+    are scanned by levels and gaps may cross any number of blocks.
+    """
+    if com < 0:
+        raise ValueError("com must be at least 0")
+    a = 1.0 / (1.0 + com)
+    d = 1.0 - a
+    one, zero = F.lit(1.0), F.lit(0.0)
+
+    def run(seen, lead, x, scale, shift, weight):
+        return F.struct(seen.alias("seen"), lead.alias("lead"), x.alias("x"), scale.alias("scale"),
+                        shift.alias("shift"), weight.alias("weight"))
+
+    def compose(p: Column, q: Column) -> Column:
+        w = p["weight"] * q["lead"]
+        held = F.when(w > 0, w / (w + a)).otherwise(0.0)
+        both = run(F.lit(True), p["lead"], p["x"], q["scale"] * held * p["scale"],
+                   q["scale"] * (held * p["shift"] + (1 - held) * q["x"]) + q["shift"], q["weight"])
+        lead = p["lead"] * q["lead"]
+        return (F.when(p["seen"] & q["seen"], both)
+                .when(p["seen"], run(F.lit(True), p["lead"], p["x"], p["scale"], p["shift"], w))
+                .otherwise(run(q["seen"], lead, q["x"], q["scale"], q["shift"], q["weight"])))
+
+    x = df
+    for out, c in inputs.items():
+        seen = F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+        item = run(seen, F.lit(d), F.when(seen, F.col(c).cast("double")).otherwise(0.0), one, zero, one)
+        x = scan_levels(x.withColumn("_item0", item), keys, POS, "_item0", compose, "_run", fan)
+        mean = F.col("_run.scale") * F.col("_run.x") + F.col("_run.shift")
+        x = x.withColumn(out, F.when(F.col("_run.seen"), mean)).drop("_item0", "_run")
+    return x
 
 
 def carry_blocks(com: float, block_rows: int) -> int:
@@ -70,7 +184,8 @@ def ewm(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
     ``inputs`` maps output column -> input column. ``seed_pos`` (a Column or
     an int) is the first position of the mean: its input seeds the mean with
     weight 1, later rows have weight ``a``; outputs before it are NULL.
-    A NULL input after the seed contributes 0. ``com`` is any number from 0
+    A NULL input after the seed contributes 0 (``ewm_gaps`` keeps the mean over
+    NULLs instead). ``com`` is any number from 0
     on: where a whole block would leave the double range, the block is scanned
     in equal parts.
     """

@@ -891,3 +891,4 @@ def order_features(spark, sf):
 # these modules register their queries themselves
 from tidemark.plans import stored_queries as _stored_queries  # noqa: E402,F401
 from tidemark.streaming import queries as _streaming_queries  # noqa: E402,F401
+from tidemark.plans import scale_queries as _scale_queries  # noqa: E402,F401

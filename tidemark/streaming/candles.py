@@ -49,10 +49,18 @@ def tick_stream(spark: SparkSession, source_dir: str, key: str = "event_type",
 
 
 def candle_stream(ticks: DataFrame, freq: str = CANDLE, watermark: str = WATERMARK,
-                  keys: Sequence[str] = ("series",)) -> DataFrame:
-    """Closed OHLCV candles (same aggregates as the batch ``resample``)."""
+                  keys: Sequence[str] = ("series",), once: bool = False) -> DataFrame:
+    """Closed OHLCV candles (same aggregates as the batch ``resample``).
+
+    ``once``: a tick delivered again (same key and ``tick_id``) does not count
+    again. Its id is held until the watermark passes its time by the delay;
+    copies that come later still are late rows, which are dropped anyway.
+    """
     order = F.struct("ts", "tick_id")
-    agg = (ticks.withWatermark("ts", watermark)
+    marked = ticks.withWatermark("ts", watermark)
+    if once:
+        marked = marked.dropDuplicatesWithinWatermark([*keys, "tick_id"])
+    agg = (marked
                 .groupBy(*keys, F.window("ts", freq))
                 .agg(F.min_by("price", order).alias("open"), F.max("price").alias("high"),
                      F.min("price").alias("low"), F.max_by("price", order).alias("close"),

@@ -9,9 +9,12 @@ from tidemark.plans.registry import query
 from tidemark.streaming import candles as S
 
 
-@query("stream_candles", O.with_(O.CANDLES, """
+_CLOSED = O.with_(O.CANDLES, """
 SELECT * FROM candles
-WHERE open_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""))
+WHERE open_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+
+
+@query("stream_candles", _CLOSED)
 def stream_candles(spark, sf):
     """Candles from a tick stream with a 10-minute watermark; only closed
     windows are emitted."""
@@ -20,6 +23,19 @@ def stream_candles(spark, sf):
     return spark.read.parquet(f"{loc}/out")
 
 
+@query("stream_candles_redelivered", _CLOSED)
+def stream_candles_redelivered(spark, sf):
+    """The same candles when ticks arrive again, half of them in the
+    same micro-batch and all of them after a restart of the stream."""
+    loc = S.stream_location(spark, f"stream-again-{uuid.uuid4().hex}")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    for delivery in (events.unionByName(events.where("event_id % 2 = 0")), events):
+        delivery.write.mode("append").parquet(f"{loc}/in")
+        ticks = S.tick_stream(spark, f"{loc}/in", glob="*.parquet")
+        S.run_available(S.candle_stream(ticks, once=True), f"{loc}/out", f"{loc}/ck")
+    return spark.read.parquet(f"{loc}/out")
+
+
 @query("stream_features", O.with_(O.FEATURES, """
 SELECT series, open_time, close, ma_24, rsi_14 FROM features
 WHERE open_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""))
