@@ -281,3 +281,77 @@ def test_url_rules_and_model(spark):
     assert url_logistic.learn(labelled.where("label = 1")) == "block"
     assert {r["verdict"] for r in url_logistic.filter_urls(pages, (), "allow").collect()} == {"allow"}
     assert url_logistic.filter_urls(pages.where("false"), URL_RULES, model).count() == 0
+
+
+def test_shapes_with_few_values_come_to_an_end(spark):
+    """More one-digit IPv4 strings than half of that shape, all real."""
+    rows = [("ip", f"{a}.{b}.{c}.{d}", "m") for a in range(1, 6) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
+    rows += [("phone", f"555{n:04d}", "m") for n in range(0, 10_000)][:9_000]
+    found = spark.createDataFrame(rows, "kind string, norm string, gender string")
+    got = pii_surrogates.surrogate_table(found, "k").collect()
+    core = {r["core"] for r in got}
+    assert len(got) == len(rows) == len(core) and not core & {r[1] for r in rows}
+
+
+FORMS = {
+    "+44 20 7946 0958": "phone", "+33 1 23 45 67 89": "phone", "+49 30 901820": "phone", "0171 2345678": "phone",
+    "+15551234567": "phone", "2001:0db8:85a3:0000:0000:8a2e:0370:7334": "ipv6", "fe80::1ff:fe23:4567:890a": "ipv6",
+}
+SETTINGS = ("token=abcdef123456", "password: hunter22", 'password = "abcdefgh"', "api_key: abcdefgh1", '"secret": "topsecret"')
+NAMES = ("Mr John Paul Smith", "Frau Anna von Berg", "Señor Juan de la Cruz", "Dr")
+
+
+def test_many_forms_are_found(spark):
+    texts = [f"call {x} now" for x in FORMS] + [f"set {x} here" for x in SETTINGS] + [f"meet {x} soon" for x in NAMES]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii_surrogates.replace_entities(docs).collect()}
+    want = [*FORMS.values(), *["secret"] * len(SETTINGS), "name", "name", "name"]
+    for i, kind in enumerate(want):
+        assert [e["kind"] for e in got[i]["entities"]] == [kind], texts[i]
+    for i, x in enumerate([*FORMS, *SETTINGS]):
+        value = x.split("=")[-1].split(": ")[-1].strip(' "')
+        new = got[i]["text"]
+        assert value not in new and len(new) == len(texts[i]), new
+        # The format stays: every character keeps its class.
+        assert [c.isalnum() for c in new] == [c.isalnum() for c in texts[i]]
+    assert " von " in got[len(FORMS) + len(SETTINGS) + 1]["text"] and " de la " in got[len(FORMS) + len(SETTINGS) + 2]["text"]
+    assert got[len(texts) - 1]["text"] == texts[-1]
+
+
+def test_plain_numbers_and_times_stay(spark):
+    texts = ["at 12:30:45 we met", "in 2001 and 2002 and 10 20 30", "ratio 3:4 token of love: none", "the secret: nothing", "a::b"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r["text"] for r in pii_surrogates.replace_entities(docs).collect()} == set(texts)
+
+
+def test_long_secret_takes_time_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        docs = spark.createDataFrame([(0, "password=" + "aB3x" * (n // 4) + " end")], "doc_id long, text string")
+        t0 = time.time()
+        text = pii_surrogates.replace_entities(docs).first()["text"]
+        assert len(text) == n + 13 and text[9:30] != "aB3x" * 5 + "a"
+        return time.time() - t0
+
+    seconds(100)
+    assert seconds(1_000_000) < seconds(100) + 25
+
+
+def test_language_with_a_small_share_is_found():
+    from tidemark.llm.language_mixture import BITS, Model
+    prob = np.full((2, 1 << BITS), 1e-7)
+    at = language_mixture.buckets("the cat sat on the mat and ran ")
+    other = language_mixture.buckets("zqx vjk wpf zxq kjv ")
+    np.add.at(prob[0], at, 1.0)
+    np.add.at(prob[1], other, 1.0)
+    model = Model(("a", "b"), prob / prob.sum(axis=1, keepdims=True))
+    text = "the cat sat on the mat and ran " * 3_000 + "zqx vjk wpf zxq kjv " * 30
+    assert model.predict(text)[2] == ["a", "b"] and model.predict(text)[3][1] < 0.01
+
+
+def test_sample_is_bounded_however_often_a_key_occurs(spark):
+    from tidemark.llm.common import bounded_sample
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 7L, id) as k", "cast(id % 2 as int) as label")
+    assert bounded_sample(df, "k", 500).count() < 700
+    assert bounded_sample(df.where("k = 7"), "k", 500).count() == 2

@@ -38,11 +38,13 @@ def doc_crc(col: str = "doc_id"):
     return F.crc32(F.col(col).cast("string"))
 
 
-def bounded_sample(df: DataFrame, key: str, bound: int, rows: int | None = None) -> DataFrame:
-    """About ``bound`` rows chosen by a hash of ``key``: all rows when there
-    are no more than that. The choice is the same on every run and does not
-    depend on partitioning. ``rows``: the row count when the caller has it."""
-    n = df.count() if rows is None else rows
+def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
+    """About ``bound`` distinct rows chosen by a hash of ``key``: all distinct
+    rows when there are no more than that. Repeats count once, so however often
+    a key occurs, the rows chosen stay few. The choice is the same on every run
+    and does not depend on partitioning."""
+    df = df.distinct()
+    n = df.count()
     if n <= bound:
         return df
     cut = int(bound / n * (1 << 30))

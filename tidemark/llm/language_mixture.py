@@ -8,7 +8,8 @@ Document. Its trigrams are taken as drawn from a mixture of languages.
 Expectation-maximisation estimates the shares; the language set is grown from
 the best single language, adding the one that raises the likelihood most while
 the gain exceeds a penalty per added language (half the logarithm of the
-trigram count, times ``penalty``). ``lang_pred`` is the language with the
+trigram count, times ``penalty``). Languages that cannot gain that much, by a
+bound from the likelihood's concavity, are not tried; no share is too small. ``lang_pred`` is the language with the
 largest share, ``score`` that share; ``langs`` and ``shares`` give the set.
 
 Defined cases: a null text or one without a letter (Unicode L) is ``und`` with
@@ -30,12 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_sample
-
 BITS = 13
-#: Rows learned from: an upper bound in expectation, spread by a hash of the id.
-SAMPLE_ROWS = 20_000
-LANGUAGES = 256  # most languages a model may hold
+#: Rows learned from per language: a bound in expectation, spread by a hash.
+SAMPLE_ROWS = 5_000
 
 
 def buckets(text: str) -> np.ndarray:
@@ -76,13 +74,16 @@ class Model:
         alone = np.log(prob) @ count
         chosen = [int(alone.argmax())]
         share, like = np.ones(1), float(alone[chosen[0]])
-        # Languages that the full mixture gives no share cannot raise it.
-        open_ = self.shares(count, prob, 8)[0] if len(self.langs) > 1 else np.zeros(1)
         fee = penalty * 0.5 * math.log(count.sum() + 1)
-        while True:
+        while len(chosen) < len(self.langs):
+            # The likelihood is concave in the shares: whatever they are, no
+            # set with language k gains more than this over the present mix.
+            ratio = prob @ (count / (share @ prob[chosen])) / count.sum()
+            held = max(1.0, float(ratio[chosen].max()))
+            most = count.sum() * np.log(np.maximum(ratio, held))
             tries = []
             for k in range(len(self.langs)):
-                if k not in chosen and open_[k] > 0.01:
+                if k not in chosen and ratio[k] > 1 and most[k] > fee:
                     s, l = self.shares(count, prob[[*chosen, k]])
                     tries.append((l, -k, s))
             best = max(tries, key=lambda t: t[:2], default=None)
@@ -98,9 +99,15 @@ class Model:
 
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, smoothing: float = 0.5) -> Model:
     """Model from ``text`` and ``lang`` of about ``sample_rows`` rows of docs
-    (chosen by a hash of doc_id; all rows when there are fewer)."""
+    per language (chosen by a hash of doc_id and text; all of a language that
+    has no more). One number per language and bucket reaches the driver."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    rows = bounded_sample(rows, "doc_id", sample_rows)
+    cuts = {r["lang"]: int(sample_rows / r["count"] * (1 << 30)) for r in rows.groupBy("lang").count().collect()
+            if r["count"] > sample_rows}
+    if cuts:
+        cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])[F.col("lang")]
+        place = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1 << 30))
+        rows = rows.where(F.coalesce(place < cut, F.lit(True)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
@@ -117,8 +124,6 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, smoothing: float = 0.
     counts = (rows.select("text", "lang").mapInArrow(count, "lang string, bucket int, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
     langs = tuple(sorted(set(counts.column("lang").to_pylist())))
-    if len(langs) > LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; the model holds {LANGUAGES}")
     c = np.full((len(langs), 1 << BITS), smoothing)
     row = np.array([langs.index(x) for x in counts.column("lang").to_pylist()], dtype=np.int64)
     np.add.at(c, (row, counts.column("bucket").to_numpy()), counts.column("n").to_numpy())

@@ -1,10 +1,13 @@
 """PII surrogates: detected entities become keyed, type-consistent stand-ins.
 DataFrame and SQL functions only.
 
-Detection. One pattern finds e-mail addresses, phone numbers, IPv4 addresses,
-card numbers (13 to 19 digits that pass the Luhn check), national ids, IBANs,
-access keys, long hexadecimal secrets, ``password=`` / ``token =`` values, and
-names after a form of address (Latin, Cyrillic, Greek).
+Detection. One pattern finds e-mail addresses, phone numbers (grouped, with a
+country code, or national with a leading zero: 8 to 15 digits), IPv4 and IPv6
+addresses, card numbers (13 to 19 digits that pass the Luhn check), national
+ids, IBANs, access keys, long hexadecimal secrets, values set to a password,
+secret, api_key or token by ``=`` or ``:`` with or without quotes (without
+``=`` and quotes only values with a digit), and names of up to three parts,
+with particles, after a form of address (Latin, Cyrillic, Greek).
 
 Surrogates. An entity's normal form (digits of a number, lower case of an
 address) and a secret key give a hash; each character is drawn from it within
@@ -20,7 +23,9 @@ other and against every real entity of the corpus; those that clash draw
 again with the next attempt number until none does. So distinct entities stay
 distinct, and one entity gets one surrogate wherever it occurs. Family names
 are settled first, as entities of their own that every full name looks up.
-Each further attempt adds a syllable to a name, so names do not run out.
+Each further attempt adds a syllable to a name, and from the seventh attempt a
+character to any other surrogate, so no shape runs out, however many of its
+values are real.
 
 Only documents that hold an entity are taken apart and joined; the others pass
 through. Occurrences meet their surrogate in a plain join on the entity, which
@@ -68,25 +73,37 @@ _EDGE, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _NAME = r"\p{Lu}[\p{L}'’-]++"
 _FORMS = "|".join(x for xs in ADDRESS.values() for x in xs)
 _INITIALS = "".join(sorted({x[0] for xs in ADDRESS.values() for x in xs}))
+#: A key's name and what may stand between it and its value.
+_SET = r"(?i:password|passwd|secret|api_key|token)"
+_ASSIGN = r"[\"']? ?[:=] ?"
+#: Parts of a name that stand in lower case.
+PARTICLES = ("von", "van", "de", "der", "den", "da", "di", "del", "la", "le", "du", "dos", "bin", "al")
+_MORE = rf"(?: (?:(?:{'|'.join(PARTICLES)}) ){{0,3}}{_NAME}){{0,2}}+"
 PARTS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
-    "secret": r"""(?i:password|passwd|secret|api_key)=[^\s"',;]{6,}+|(?i:token) = "[^\s"]{8,}+""",
+    "secret": rf"""{_SET}(?:=[^\s"',;]{{6,}}+|{_ASSIGN}(?=[^\s"',;]*\d)[^\s"',;]{{6,}}+|{_ASSIGN}["'][^\s"']{{6,}}+)""",
     "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?+(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3,4}[ .-]\d{4}(?!\d)",
+    "e164": r"(?<![\p{L}\p{N}+])\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,6}+(?![\p{L}\p{N}])",
+    "national": r"(?<![\p{L}\p{N}+.-])0\d{2,4}[ /]\d{3,4}(?:[ -]?\d{2,4}){1,2}+(?![\p{L}\p{N}])",
+    "ipv6": r"(?<![\p{L}\p{N}:])(?=[0-9A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|\d?\d)(?!\.?[\p{L}\p{N}])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "iban": _EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _END,
     "card": _EDGE + r"\d(?:[ -]?\d){12,18}" + _END,
     "access": _EDGE + r"(?:AKIA|ASIA)[A-Z0-9]{16}" + _END,
     "hex": _EDGE + r"(?:(?=\d*[a-f])(?=[a-f]*\d)[0-9a-f]{16,128}|(?=\d*[A-F])(?=[A-F]*\d)[0-9A-F]{16,128})" + _END,
-    "name": rf"(?=[{_INITIALS}])(?<!\p{{L}})(?:{_FORMS})\.? {_NAME}(?: {_NAME})?+",
+    "name": rf"(?=[{_INITIALS}])(?<!\p{{L}})(?:{_FORMS})\.? (?:(?:{'|'.join(PARTICLES)}) ){{0,3}}{_NAME}{_MORE}",
 }
 PATTERN = "|".join(PARTS.values())
 #: What stands before the part of a match that is replaced.
-LEAD = rf"^(?:(?:{_FORMS})\.? |(?i:password|passwd|secret|api_key)=|(?i:token) = \")"
+LEAD = rf"^(?:(?:{_FORMS})\.? |{_SET}{_ASSIGN}[\"']?)"
 #: Every match of PATTERN holds one of these; a text without them is passed by.
-HINT = rf"@|\d[ .-]?\d|[0-9a-f]{{16}}|[0-9A-F]{{16}}|AKIA|ASIA|(?i:password|passwd|secret|api_key)=|(?i:token) = \"|(?=[{_INITIALS}])(?:{_FORMS})\.? "
+HINT = rf"@|\d[ .-]?\d|[0-9a-f]{{16}}|[0-9A-F]{{16}}|AKIA|ASIA|(?i:password|passwd|secret|api_key|token)[\"']? ?[=:]|[0-9A-Fa-f]::?[0-9A-Fa-f]|(?=[{_INITIALS}])(?:{_FORMS})\.? "
 #: Kinds whose surrogate replaces letters and digits in place.
 _POURED = ("phone", "ssn", "iban", "card")
+#: Attempts within an entity's own shape; each one after adds a character, so
+#: that also shapes with few values, most of them real, come to an end.
+_IN_SHAPE = 6
 
 
 def _kind(entity: Column) -> Column:
@@ -95,10 +112,12 @@ def _kind(entity: Column) -> Column:
     lead = F.regexp_extract(entity, LEAD, 0)
     whole = {k: entity.rlike(rf"^(?:{p})$") for k, p in PARTS.items() if k not in ("secret", "name")}
     digits = F.regexp_replace(entity, r"\D", "")
-    kind = F.when(lead.rlike(r"[=\"]$"), "secret").when(lead != "", "name")
-    for k in ("email", "phone", "ip", "ssn", "iban", "card", "access", "hex"):
+    kind = F.when(lead.rlike(rf"^{_SET}"), "secret").when(lead != "", "name")
+    for k in ("email", "phone", "e164", "national", "ip", "ipv6", "ssn", "iban", "card", "access", "hex"):
         hit = whole[k] & (_luhn(digits) % 10 == 0) if k == "card" else whole[k]
-        kind = kind.when(hit, k)
+        if k in ("e164", "national"):  # grouped at will: as many digits as a number has
+            hit = hit & F.length(digits).between(8, 15)
+        kind = kind.when(hit, "phone" if k in ("e164", "national") else k)
     return kind
 
 
@@ -115,18 +134,28 @@ def _draw(seed: Column, i: Column) -> Column:
     return F.conv(F.substring(seed, at, F.lit(4)), 16, 10).cast("int")
 
 
+def _chars(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
 def _masked(text: Column, seed: Column, skip: int = 0) -> Column:
     """Every letter and digit after the first ``skip`` characters drawn anew
-    within its class; the first digit of a run is not zero."""
-    def one(i: Column) -> Column:
-        c, v = text.substr(i, F.lit(1)), _draw(seed, i)
-        run = (i == 1) | ~text.substr(i - 1, F.lit(1)).rlike(r"\d")
+    within its class; the first digit of a run is not zero. One walk over the
+    characters, each beside the one before it."""
+    before = F.concat(F.array(F.lit("")), _chars(text))
+    pairs = F.arrays_zip(_chars(text).alias("c"), before.alias("p"))
+
+    def one(x: Column, at: Column) -> Column:
+        c, i = x["c"], at + 1
+        v = _draw(seed, i)
+        run = ~x["p"].rlike(r"\d")
         out = F.when(i <= skip, c).when(c.rlike(r"\d"), F.when(run, 1 + v % 9).otherwise(v % 10).cast("string"))
         for span, letters in _ALPHABETS.items():
             out = out.when(c.rlike(f"[{span}]"), F.lit(letters).substr(v % len(letters) + 1, F.lit(1)))
         return out.when(c.rlike(r"\p{L}"), "x").otherwise(c)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), "")
+    # ``before`` is one longer: its last pair has no character and joins nothing.
+    return F.array_join(F.transform(pairs, one), "")
 
 
 def _pick(values: tuple[str, ...], n: Column) -> Column:
@@ -143,9 +172,14 @@ def _syllables(values: tuple[str, ...], seed: Column, first: int, n: Column) ->
     return F.initcap(F.array_join(drawn, ""))
 
 
-def _family(norm: Column, key: str, attempt: Column) -> Column:
+def _seed(key: str) -> Column:
+    """What every draw of a row's attempt comes from; kept as a column, so that
+    it is hashed once and not for every character."""
+    return F.sha2(F.concat_ws("|", F.lit(key), "kind", "norm", F.col("attempt").cast("string")), 512)
+
+
+def _family(norm: Column, seed: Column, attempt: Column) -> Column:
     """A family name of three syllables, and one more for each attempt."""
-    seed = F.sha2(F.concat_ws("|", F.lit(key), F.lit("family"), norm, attempt.cast("string")), 512)
     out = F
     for s, syl in SYLLABLES.items():
         out = out.when(_script(norm) == s, _syllables(syl, seed, 1, attempt + 3))
@@ -165,37 +199,46 @@ def _name(norm: Column, gender: Column, key: str, attempt: Column, family: Colum
             # Given names are few: a further attempt adds syllables.
             one = F.when(attempt > 0, F.concat(one, F.lit("-"), _syllables(syl, seed, 2, attempt))).otherwise(one)
             out = out.when(_script(p) == s, one)
-        return out
+        return F.when(F.lower(p).isin(*PARTICLES), F.lower(p)).otherwise(out)
 
     return F.array_join(F.concat(F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), given), F.array(family)), " ")
 
 
-def surrogate(kind: Column, norm: Column, gender: Column, key: str, attempt: Column, family: Column) -> Column:
+def surrogate(kind: Column, norm: Column, gender: Column, key: str, attempt: Column, family: Column,
+              seed: Column) -> Column:
     """The stand-in for a normal form at an attempt number; ``family`` is the
-    family name's, for names."""
-    seed = F.sha2(F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string")), 512)
+    family name's, for names. From the third attempt on octets leave their
+    width; from _IN_SHAPE on a character is added for each."""
     at = F.locate("@", norm)
     tld = F.element_at(F.split(norm, r"\."), -1)
     email = F.concat(_masked(F.substring(norm, F.lit(1), at - 1), seed), F.lit("@mail"),
                      (_draw(seed, F.lit(30)) % 1000).cast("string"), F.lit(".example"),
                      F.when(tld.isin("com", "net", "org"), F.concat(F.lit("."), tld)).otherwise(F.lit("")))
-    octets = F.transform(F.split(norm, r"\."), lambda o, i: F.when(F.length(o) == 1, 1 + _draw(seed, i) % 9)
+    octets = F.transform(F.split(norm, r"\."), lambda o, i: F.when(attempt > 1, _draw(seed, i) % 256)
+                         .when(F.length(o) == 1, 1 + _draw(seed, i) % 9)
                          .when(F.length(o) == 2, 10 + _draw(seed, i) % 90)
                          .otherwise(100 + _draw(seed, i) % 156).cast("string"))
-    drawn = F.concat(_masked(norm.substr(F.lit(1), F.length(norm) - 1), seed, 1), F.lit("0"))
-    check = (10 - _luhn(drawn) % 10) % 10
-    card = F.concat(drawn.substr(F.lit(1), F.length(norm) - 1), check.cast("string"))
+    spare = F.greatest(attempt - _IN_SHAPE, F.lit(0))
+    longer = F.array_join(F.transform(F.sequence(F.lit(0), spare), lambda j: F.when(
+        j > 0, (_draw(seed, j + 7) % 10).cast("string")).otherwise("")), "")
+    six = F.translate(_masked(F.lower(norm), seed), "ghijklmnopqrstuvwxyz", "abcdefabcdefabcdefab")
+    open_ = F.concat(_masked(norm.substr(F.lit(1), F.length(norm) - 1), seed, 1), F.lit("0"))
+    check = (10 - _luhn(open_) % 10) % 10
+    card = F.concat(open_.substr(F.lit(1), F.length(norm) - 1), check.cast("string"))
     code = F.length(F.regexp_extract(norm, r"^\+(\d{1,3}) ", 1))  # norm of a phone: +cc and a space, then digits
     phone = F.concat(norm.substr(F.lit(1), F.when(code > 0, code + 2).otherwise(0)),
                      _masked(norm.substr(F.when(code > 0, code + 3).otherwise(1), F.length(norm)), seed))
     hexed = F.translate(_masked(norm, seed), "ghijklmnopqrstuvwxyz", "abcdefabcdefabcdefab")
     upper_hexed = F.translate(_masked(norm, seed), "GHIJKLMNOPQRSTUVWXYZ", "ABCDEFABCDEFABCDEFAB")
-    return (F.when(kind == "email", email).when(kind == "ip", F.array_join(octets, "."))
+    drawn = (F.when(kind == "email", email).when(kind == "ip", F.array_join(octets, ".")).when(kind == "ipv6", six)
             .when(kind == "card", card).when(kind == "phone", F.regexp_replace(phone, "^\\+(\\d+) ", "+$1 "))
             .when(kind == "iban", _masked(norm, seed, 2)).when(kind == "access", _masked(norm, seed, 4))
             .when(norm.rlike("^[0-9a-f]{8,}$"), hexed)
             .when(norm.rlike("^[0-9A-F]{8,}$"), upper_hexed).when(kind == "name", _name(norm, gender, key, attempt, family))
             .otherwise(_masked(norm, seed)))
+    # Names grow by themselves; an address takes the digits in front.
+    return (F.when(kind == "name", drawn).when(kind == "email", F.concat(longer, drawn))
+            .when((kind == "ip") & (spare > 0), F.concat(drawn, F.lit("."), longer)).otherwise(F.concat(drawn, longer)))
 
 
 def _norm(kind: Column, entity: Column) -> Column:
@@ -203,7 +246,7 @@ def _norm(kind: Column, entity: Column) -> Column:
     code = F.regexp_extract(entity, r"^\+(\d{1,3})[^\d]", 1)
     phone = F.when(code != "", F.concat(F.lit("+"), code, F.lit(" "), plain.substr(F.length(code) + 1, F.length(plain)))).otherwise(plain)
     return (F.when(kind == "email", F.lower(entity)).when(kind == "phone", phone)
-            .when(kind.isin("ssn", "iban", "card"), plain)
+            .when(kind.isin("ssn", "iban", "card"), plain).when(kind == "ipv6", F.lower(entity))
             .when(kind == "name", F.initcap(entity)).otherwise(entity))
 
 
@@ -217,6 +260,8 @@ def _poured(kind: Column, entity: Column, core: Column) -> Column:
         return F.when(c.rlike(r"[\p{L}\p{N}]"), digits.substr(k, F.lit(1))).otherwise(c)
 
     into = F.array_join(F.transform(F.sequence(F.lit(1), F.length(entity)), one), "")
+    filled = F.length(F.regexp_replace(entity, r"[^\p{L}\p{N}]", ""))
+    into = F.concat(into, digits.substr(filled + 1, F.greatest(F.length(digits) - filled, F.lit(0))))
     return (F.when(kind.isin(*_POURED), into)
             .when((kind == "name") & (F.upper(entity) == entity), F.upper(core)).otherwise(core))
 
@@ -243,11 +288,12 @@ def entities(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage(hits, "pii-hits"), docs.where(~has)
 
 
-def _settled(known: DataFrame, real: DataFrame, drawn: Column) -> DataFrame:
+def _settled(known: DataFrame, real: DataFrame, drawn: Column, key: str) -> DataFrame:
     """known with ``core``: ``drawn`` at the first attempt that clashes neither
     with another row's nor with a real entity (``real``: core)."""
     attempt = 0
-    table = stage(known.withColumn("attempt", F.lit(0)).withColumn("core", drawn), "pii-surrogates")
+    table = stage(known.withColumn("attempt", F.lit(0)).withColumn("_seed", _seed(key))
+                  .withColumn("core", drawn).drop("_seed"), "pii-surrogates")
     while True:
         # Of those that drew one surrogate, the earliest attempt and first
         # entity keeps it; it must not be anyone's real value either.
@@ -259,7 +305,7 @@ def _settled(known: DataFrame, real: DataFrame, drawn: Column) -> DataFrame:
             return table.drop("attempt")
         attempt += 1
         again = table.join(clash, ["kind", "norm"], "left_semi").drop("core").withColumn(
-            "attempt", F.lit(attempt)).withColumn("core", drawn)
+            "attempt", F.lit(attempt)).withColumn("_seed", _seed(key)).withColumn("core", drawn).drop("_seed")
         table = stage(table.join(clash, ["kind", "norm"], "left_anti").unionByName(again), "pii-surrogates")
 
 
@@ -270,13 +316,14 @@ def surrogate_table(found: DataFrame, key: str) -> DataFrame:
     names = known.where("kind = 'name'").withColumn("family", F.element_at(F.split("norm", " "), -1))
     families = names.select(F.lit("family").alias("kind"), F.col("family").alias("norm")).distinct()
     real = known.unionByName(families, allowMissingColumns=True).select(F.col("norm").alias("core")).distinct()
-    heads = _settled(families, real, _family(F.col("norm"), key, F.col("attempt")))
+    heads = _settled(families, real, _family(F.col("norm"), F.col("_seed"), F.col("attempt")), key)
     named = names.join(heads.select(F.col("norm").alias("family"), F.col("core").alias("head")), "family").drop("family")
     # A name of one part is its family name, which is settled: of a surrogate
     # drawn twice, names ("name" < "secret") keep theirs.
     known = named.unionByName(known.where("kind <> 'name'"), allowMissingColumns=True)
     return _settled(known, real, surrogate(
-        F.col("kind"), F.col("norm"), F.col("gender"), key, F.col("attempt"), F.col("head"))).drop("head")
+        F.col("kind"), F.col("norm"), F.col("gender"), key, F.col("attempt"), F.col("head"), F.col("_seed")),
+        key).drop("head")
 
 
 def replace_entities(docs: DataFrame, key: str = "surrogates") -> DataFrame:

@@ -141,17 +141,19 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, least: float = 5.0) ->
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
     """Trees from docs (doc_id, text) and labels (doc_id, quality)."""
     marked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    # Bounded rows, so their ids may be broadcast to the scan of documents.
+    # Bounded distinct rows, so their ids may be broadcast to the scan of
+    # documents; of documents that share an id one counts, the least.
     marked = F.broadcast(bounded_sample(marked, "doc_id", sample_rows))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([statistics(t.as_py()) for t in b.column(0)], pa.list_(pa.float64())),
-                 b.column(1).cast(pa.float64())], names=["x", "y"])
+                 b.column(1).cast(pa.float64()), b.column(2).cast(pa.int64())], names=["x", "y", "doc_id"])
 
-    rows = (docs.select("doc_id", "text").join(marked, "doc_id").select("text", "quality")
-            .mapInArrow(measure, "x array<double>, y double").toArrow())
+    rows = (docs.select("doc_id", "text").join(marked, "doc_id").select("text", "quality", "doc_id")
+            .mapInArrow(measure, "x array<double>, y double, doc_id long")
+            .groupBy("doc_id", "y").agg(F.min("x").alias("x")).toArrow())
     x = np.array(rows.column("x").to_pylist(), dtype=float).reshape(-1, len(STATISTICS))
     y = rows.column("y").to_numpy().astype(float)
     order = np.lexsort((y, *x.T))  # the same trees however rows arrive
