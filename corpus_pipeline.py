@@ -12,8 +12,8 @@ one's docs. All but the last return the columns of documents.
 - pii: entities are replaced by surrogates; no document goes.
 - packing: every piece of every remaining document gets its place.
 
-Null doc_ids: such rows have no label and rank after every id; a component of
-them alone keeps one row per text. Repeated rows of one doc_id are copies and
+Null doc_ids: such rows have no label and rank after every id, in the table's
+order; a component of them alone keeps its first row. Repeated rows of one doc_id are copies and
 one of them stays; rows of one id with different texts stay when the id does.
 Empty tables pass through.
 """
@@ -45,8 +45,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.select(key.alias("_key"), F.xxhash64("text").alias("_text"), F.struct(*docs.columns).alias("_doc"))
+    # A row without an id gets one of its own, after every other.
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.monotonically_increasing_id())
+    rows = docs.select(key.alias("_key"), F.sha2(F.col("text").cast("binary"), 256).alias("_text"),
+                       F.struct(*docs.columns).alias("_doc"))
     found = simhash_golay.near_copies(docs.select(key.alias("doc_id"), "text"))
     kept = stage(found.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct(), "copy-kept")
     # One shuffle of the texts by id, at every size; repeated rows are dropped
