@@ -3,7 +3,7 @@
 The file's vocabulary gives each token's bytes, and its ids are the order of
 its merges, so tiktoken's merging loop runs on it as it stands: several times
 as fast on words seen for the first time as the library, with the same ids
-(tests compare them on random and on all given texts). A file that is built
+(tests compare them on random texts and on given documents). A file that is built
 another way, and a text that tiktoken gives up, go to the library itself.
 
 Added tokens. As the library does by default, the strings of added tokens
