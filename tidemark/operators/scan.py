@@ -75,9 +75,12 @@ def running_sum(df: DataFrame, keys: Sequence[str], value: str, out: str,
     v = F.coalesce(F.col(value), F.lit(0.0))
     w = Window.partitionBy(*keys, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     local = stage(df.withColumn("_v", v).withColumn("_local", F.sum("_v").over(w)), "runsum")
-    totals = stage(local.groupBy(*keys, BLK).agg(F.sum("_v").alias("_tot")), "runsum-blocks")
+    totals = local.groupBy(*keys, BLK).agg(F.sum("_v").alias("_tot"))
+    last = _last(local, BLK)
+    if last >= fan:             # read by more than one level
+        totals = stage(totals, "runsum-blocks")
     key = F.struct(*[F.col(k) for k in keys], F.col(BLK)).alias("_key")
-    carry = carried_sums(totals, keys, BLK, "_tot", "_carry", fan).select(key, "_carry")
+    carry = carried_sums(totals, keys, BLK, "_tot", "_carry", fan, last).select(key, "_carry")
     return (local.withColumn("_key", key).join(carry, "_key")
                  .withColumn(out, F.col("_local") + F.col("_carry"))
                  .drop("_local", "_carry", "_v", "_key"))
