@@ -228,7 +228,9 @@ def ewm(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
     decay = F.pow(F.lit(d), (F.col("_j") - 1) * block_rows)
     carry = (spread.groupBy(*keys, (F.col(BLK) + F.col("_j")).alias(BLK))
                    .agg(*[F.sum(F.col(f"_e._L_{o}") * decay).alias(f"_C_{o}") for o in inputs]))
-    x = x.join(carry, [*keys, BLK], "left")
+    # Keys as a struct, in which NULLs are equal: a NULL key is a series too.
+    key = F.struct(*[F.col(k) for k in keys], F.col(BLK)).alias("_key")
+    x = x.withColumn("_key", key).join(carry.select(key, *[f"_C_{o}" for o in inputs]), "_key", "left").drop("_key")
     into = F.pow(F.lit(d), off + 1)
     for o in inputs:
         y = F.col(f"_L_{o}") + into * F.coalesce(F.col(f"_C_{o}"), F.lit(0.0))

@@ -17,13 +17,14 @@ from tidemark.operators import timeframes as TF
 from tidemark.operators.positions import POS, SLEN
 from tidemark.operators.ranges import with_range_position
 from tidemark.operators.scan import ewm_gaps as scan_ewm_gaps
+from tidemark.plans import late as L
 from tidemark.plans import oracle as O
 from tidemark.plans import refit as RF
 from tidemark.plans import registry as R
 from tidemark.plans import stored_queries as SQ
 from tidemark.plans.registry import query
 from tidemark.sources import sinks
-from tidemark.sources.tables import order_ticks, ticks
+from tidemark.sources.tables import order_ticks, ticks, ticks_as_candles
 
 DAY_SECONDS = 86_400
 
@@ -158,3 +159,37 @@ def ols_refit_incremental(spark, sf):
     model, bounds = RF.refit(spark, tables, SQ.TWO_INPUTS)
     scored = ml.predict(RF.test_rows(spark, tables, bounds), model, SQ.TWO_INPUTS)
     return ml.prediction_table(scored, F.lit("r2"), "LinearRegression").drop("created_at")
+
+
+@query("late_repair", R.ORACLE["order_features"])
+def late_repair(spark, sf):
+    """One order in 4,001 arrives after all others; the stored features
+    are repaired by replays from these rows until the means meet the stored
+    carries."""
+    c = ticks_as_candles(order_ticks(spark, sf))
+    is_late = F.col("tick_id") % 4001 == 0
+    t = L.LateTables.named(spark, uuid.uuid4().hex[:12], order=tuple(R.TICK_ORDER), unit="month")
+    L.build_tables(c.where(~is_late), t)
+    L.take_up(c.where(is_late), t)
+    return spark.table(t.features).drop(L.PART)
+
+
+@query("profile_incremental", R._sql(O.CANDLES + f""",
+raw AS (SELECT * FROM candles UNION ALL
+        SELECT * FROM candles WHERE open_time >= TIMESTAMP '{R.REDELIVER_FROM}' AND open_time < TIMESTAMP '{R.CUT}')""", f"""
+SELECT series, min(open_time) AS earliest, max(open_time) AS latest, count(*) AS total_rows,
+       count(DISTINCT open_time) AS distinct_times, count(open_time) - count(DISTINCT open_time) AS duplicate_rows,
+       {R._cents_mean_sql('close')} AS avg_price, round(stddev_samp(close), 2) AS stddev,
+       round(min(close), 2) AS min_price, round(max(close), 2) AS max_price, {R._cents_mean_sql('volume')} AS avg_volume,
+       {", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}_nulls" for c in ("open", "high", "low", "close", "volume"))}
+FROM raw GROUP BY series"""))
+def profile_incremental(spark, sf):
+    """A1-A5: the profile from one state per series and date, of which an
+    append with re-delivered rows refreshed only its own dates."""
+    c = R._candles(spark, sf)
+    L.create_namespaces(spark, ["bronze", "gold"])
+    at = uuid.uuid4().hex[:12]
+    raw, profile = f"bronze.profiled_{at}", f"gold.profile_{at}"
+    L.append_profiled(c.where(F.col("open_time") < F.lit(R.CUT).cast("timestamp_ntz")), raw, profile)
+    L.append_profiled(c.where(F.col("open_time") >= F.lit(R.REDELIVER_FROM).cast("timestamp_ntz")), raw, profile)
+    return L.merged_profile(spark.table(profile))
