@@ -44,19 +44,48 @@ def test_cover_tree_is_exact(spark, points, blocks):
     assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == want
 
 
-def test_cover_tree_covers(points):
-    root = cover_tree.cover_tree(points.astype(float), leaf=8)
-    todo, leaves = [root], []
-    while todo:
-        n = todo.pop()
-        d = np.sqrt(((points[n.at].astype(float) - n.centre) ** 2).sum(axis=1))
-        assert d.max() <= n.radius + 1e-9
-        if n.children:
-            assert sorted(np.concatenate([c.at for c in n.children])) == sorted(n.at)
-            todo += n.children
-        else:
-            leaves.append(n.at)
-    assert sorted(np.concatenate(leaves)) == list(range(len(points)))
+def test_cover_tree_covers_and_separates(points):
+    x = points.astype(float)
+    t = cover_tree.CoverTree(x, leaf=8)
+    assert sorted(t.order) == list(range(len(x))) and (t.lo[0], t.hi[0]) == (0, len(x))
+    leaves = 0
+    for n in range(len(t.lo)):
+        at = t.rows(np.array([n]))
+        assert np.sqrt(((x[at] - t.at_centre[n]) ** 2).sum(axis=1)).max() <= t.radius[n] + 1e-9
+        assert t.centre[n] in at
+        if not t.kids[n]:
+            leaves += len(at)
+            continue
+        kids = t.opened(np.array([n]))
+        assert sorted(np.concatenate([t.rows(np.array([c])) for c in kids])) == sorted(at)
+        c = t.at_centre[kids]
+        apart = np.sqrt(((c[:, None] - c[None]) ** 2).sum(axis=2))
+        assert apart[~np.eye(len(kids), dtype=bool)].min() >= t.radius[kids].max() - 1e-9
+    assert leaves == len(x)
+
+
+def test_cover_tree_prunes_clusters():
+    """Where vectors lie in clusters, few pairs are scored; the result is that
+    of brute force, repeated ids and ties included."""
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(60, 32))
+    x = np.floor(256 * (centres[rng.integers(0, 60, 6_000)] + rng.normal(size=(6_000, 32)) * 0.02))
+    x[3_000:4_000] = x[3_000]
+    ids = np.arange(6_000)
+    ids[10:20] = 100
+    q = np.flatnonzero(ids % 50 == 0)
+    q = q[np.unique(ids[q], return_index=True)[1]]
+    counts = {}
+    i, j, s = cover_tree.dual_search(ids[q], x[q], ids, x, 5, counts)
+    got = {}
+    for a, b, c in zip(i, j, s):
+        got.setdefault(int(a), []).append((int(c), int(ids[b])))
+    for a, at in enumerate(q):
+        full = x @ x[at]
+        other = np.flatnonzero(ids != ids[at])
+        top = other[np.lexsort((ids[other], -full[other]))][:5]
+        assert got[a] == [(int(full[b]), int(ids[b])) for b in top]
+    assert counts["scored"] <= 0.1 * len(q) * len(x)
 
 
 def test_small_tables(spark):

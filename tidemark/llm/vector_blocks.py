@@ -1,6 +1,7 @@
 """A stated query set against all rows, in blocks, for the two vector searches.
 
-Rows and queries are dealt by a hash into blocks of bounded size; each task
+Rows and queries are dealt by a hash into blocks of bounded size (rows by
+their id and place in the table, so that a repeated id is spread); each task
 gets one block of queries and one of rows, searches it, and hands back the few
 best per query, which one ranking per query merges. No vector is broadcast or
 collected. Rows are copied once per block of queries and queries once per
@@ -50,13 +51,13 @@ def search(rows: DataFrame, is_query: Column, k: int,
     n, q = rows.count(), queries.count()
     nb, nq = max(1, math.ceil(n / block_rows)), max(1, math.ceil(q / block_queries))
 
-    def dealt(df: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
+    def dealt(df: DataFrame, own: str, parts: int, other: str, others: int, *salt: Column) -> DataFrame:
         return df.select("vec_id", "v", F.size("v").alias("dim"),
-                         F.pmod(F.xxhash64("vec_id", F.lit(own)), F.lit(parts)).cast("int").alias(own),
+                         F.pmod(F.xxhash64("vec_id", F.lit(own), *salt), F.lit(parts)).cast("int").alias(own),
                          F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
     a = dealt(queries, "qb", nq, "rb", nb).groupBy("dim", "qb", "rb")
-    b = dealt(rows, "rb", nb, "qb", nq).groupBy("dim", "qb", "rb")
+    b = dealt(rows, "rb", nb, "qb", nq, F.monotonically_increasing_id()).groupBy("dim", "qb", "rb")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows and right.num_rows:
