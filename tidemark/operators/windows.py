@@ -29,8 +29,8 @@ def frame(w: Window, n: int) -> Window:
 
 
 CENTS = "_cents"   # integer cents of close, added once before the windows
-# Running totals over the ordered window: non-null count and cent sum.
-PREFIX = ("_p0", "_p1")
+# Running totals over the ordered window: non-null count, cent sum, square sum.
+PREFIX = ("_p0", "_p1", "_p2")
 
 
 def with_cents(df, close: str = "close"):
@@ -45,12 +45,14 @@ def with_prefix(df, w: Window):
     row, where a sliding ``rowsBetween(-(n-1), 0)`` frame re-aggregates all n
     rows for every row (168 for ``ma_168``). Integer totals make the
     difference exact; cent totals stay far below 2^63 (a block of 4,096 rows
-    at 10^9 cents is 4 * 10^12).
+    at 10^9 cents is 4 * 10^12). Squares are added as decimals, which hold a
+    block of prices up to 10^17 cents.
     """
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     c = F.col(CENTS)
     return df.select("*", F.count(c).over(run).alias(PREFIX[0]),
-                     F.sum(c).over(run).alias(PREFIX[1]))
+                     F.sum(c).over(run).alias(PREFIX[1]),
+                     F.sum(_squared(c)).over(run).alias(PREFIX[2]))
 
 
 def _last(w: Window, total: str, n: int) -> Column:
@@ -81,14 +83,11 @@ def rolling_std(w: Window, n: int, close: str = "close") -> Column:
     """round(sample stddev(close), 2) over the last n rows; NULL on one row.
 
     Computed from exact integer cent sums (n*S2 - S1^2) and one square root,
-    so it does not depend on summation order. A sliding frame (24 rows), not
-    running totals: squared cents summed over a whole block could pass 2^63.
-    Needs ``_cents``.
+    so it does not depend on summation order. Needs the running totals
+    (:func:`with_prefix`): a sliding frame would add n decimals for every row.
     """
-    c = F.col(CENTS)
-    f = frame(w, n)
-    k = F.count(c).over(f)
-    var_cents = _variance(k, F.sum(c).over(f), F.sum(_squared(c)).over(f))
+    k, s1, s2 = (_last(w, total, n) for total in PREFIX)
+    var_cents = _variance(k, s1, s2)
     return F.when(k > 1, F.round(F.sqrt(var_cents) / 100.0, 2))
 
 
@@ -118,20 +117,17 @@ FEATURE_WINDOW_COLUMNS = ["returns", *[f"ma_{n}" for n in MA_PERIODS],
 def add_feature_columns(df, w: Window, close: str = "close", delta: str | None = "_delta"):
     """Add the window columns of the feature table (and ``delta``) over ``w``.
 
-    Needs ``_cents`` and the running totals (:func:`with_cents`,
-    :func:`with_prefix`). Two steps: first the window functions alone (lags,
+    Needs the running totals (:func:`with_cents`, :func:`with_prefix`). Two steps: first the window functions alone (lags,
     frame sums and counts) as plain columns, then the exact rounding as a
     projection over those columns. Written inline, the rounding would repeat
     each lag subtree several times per expression.
     """
-    c = F.col(CENTS)
-    f = frame(w, VOLATILITY_PERIOD)
     step1 = [F.lag(close, k).over(w).alias(f"lag_{k}") for k in LAGS]
     for n in MA_PERIODS:
         step1.append(_last(w, PREFIX[1], n).alias(f"_s{n}"))
         step1.append(_last(w, PREFIX[0], n).alias(f"_k{n}"))
-    step1 += [F.count(c).over(f).alias("_vk"), F.sum(c).over(f).alias("_vs1"),
-              F.sum(_squared(c)).over(f).alias("_vs2")]
+    step1 += [_last(w, total, VOLATILITY_PERIOD).alias(name)
+              for total, name in zip(PREFIX, ("_vk", "_vs1", "_vs2"))]
     x = df.select("*", *step1)
     k, s1, s2 = F.col("_vk"), F.col("_vs1"), F.col("_vs2")
     var_cents = _variance(k, s1, s2)
