@@ -96,6 +96,23 @@ def test_time_frames_equal_brute_force(spark, block):
         assert (got[i][1] is None) if len(x) == 1 else abs(got[i][1] - np.std(x, ddof=1)) < 0.00501
 
 
+@pytest.mark.parametrize("block", [None, 7_200])
+def test_time_frames_are_running_totals(spark, block):
+    """No sliding frame, whose work grows with the square of a span's rows;
+    many rows of one span, NULL values among them, have the right means."""
+    df = spark.range(20_000).selectExpr("'a' as k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 5) as ts", "id",
+                                        "if(id % 3 = 0, null, cast(id % 100 as double)) as p")
+    x = timeframes.time_features(df, ["k"], "ts", "p", 36_000, "m", "s", block)
+    frames = [line for line in x._jdf.queryExecution().optimizedPlan().toString().split("\n") if "RangeFrame" in line]
+    assert frames and all(f.count("RangeFrame, unboundedpreceding$()") == f.count("RangeFrame") for f in frames)
+    pdf = df.select("id", "p").toPandas().set_index("id").p
+    want = pdf.rolling(7_201, min_periods=1)
+    got = x.toPandas().set_index("id").sort_index()
+    assert len(got) == 20_000 and got.m.isna().sum() == 1
+    assert np.allclose(got.m, want.mean(), atol=0.00501, equal_nan=True)
+    assert np.allclose(got.s, want.std(), atol=0.00501, equal_nan=True)
+
+
 def test_states_merge_in_any_grouping(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(1e6, 1, (500, 2))
