@@ -11,6 +11,8 @@ import pytest
 from tidemark.operators import repair as RP
 from tidemark.plans import late as L
 from tidemark.plans.features import build_features
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.sinks import stage
 
 T0 = dt.datetime(2024, 1, 1)
 COLUMNS = "series string, open_time timestamp_ntz, open double, high double, low double, close double, volume double"
@@ -90,6 +92,24 @@ def test_replay_is_local(spark):
     same(spark.table(t.features).drop(L.PART), build_features(spark.createDataFrame(rows, COLUMNS)))
 
 
+def test_feature_rows_are_written_once_besides_their_table(spark):
+    """Of a build and of a replay, one written stage holds the feature columns."""
+    n = 1_200
+    rows = candles(spark, {"a": n})
+    late = rows[5::100]
+    base = f"{ensure_checkpoint_dir(spark)}/tidemark-stage"
+    fs = spark._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    stages = lambda: {f.getPath().toString() for f in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(base))}
+    spark.range(1).transform(stage)                     # the folder is there
+    before = stages()
+    t = L.LateTables.named(spark, uuid.uuid4().hex[:12])
+    L.build_tables(spark.createDataFrame([r for r in rows if r not in late], COLUMNS), t)
+    assert L.take_up(spark.createDataFrame(late, COLUMNS), t).replayed.count() == n // 24
+    staged = [spark.read.parquet(p) for p in stages() - before]
+    assert sum(x.count() for x in staged if "ma_168" in x.columns) == n - len(late) + n
+    same(spark.table(t.features).drop(L.PART), build_features(spark.createDataFrame(rows, COLUMNS)))
+
+
 def test_empty_batch_and_empty_table(spark):
     none = spark.createDataFrame([], COLUMNS)
     t = L.LateTables.named(spark, uuid.uuid4().hex[:12])

@@ -43,6 +43,23 @@ def test_no_window_over_a_whole_series(spark):
     assert windows and all("_up#" in line.split("windowspecdefinition(")[1] for line in windows)
 
 
+def test_block_tables_do_not_shuffle_the_rows(spark):
+    """Offsets and carries have one row per bucket or block: where they are
+    under the broadcast limit, the many rows they meet are not shuffled."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        x = spark.range(0, 40_000, 1, 4).selectExpr("'a' as k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, id) as ts", "id",
+                                                    "rand(5) as v")
+        posd = positions.with_position(x, ["k"], ["ts", "id"])
+        mean = scan.ewm(positions.halo_blocks(posd, ["k"], 4_096), ["k"], {"y": "v"}, 13, 0, 4_096, spent=["ts"])
+        for df in (posd, mean):
+            assert "BroadcastHashJoin" in plan(df) and "Exchange hashpartitioning" not in plan(df)
+        assert mean.columns == ["k", "id", "v", "_n", "_pos", "_blk", "y"] and mean.where("y is not null").count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 @pytest.mark.parametrize(("com", "fan"), [(9, 4), (9, 64), (0, 8), (0.5, 3), (200, 16)])
 def test_ewm_over_gaps_equals_pandas(spark, com, fan):
     rng = np.random.default_rng(7)

@@ -123,8 +123,10 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # NULL time come first in theirs; none is lost.
     by = [*keys, BKT]
     names = {c: f"_by{i}" for i, c in enumerate(by)}
-    offsets = offsets.select(*[F.col(c).alias(n) for c, n in names.items()],
-                             *[c for c in offsets.columns if c not in by])
+    # Written, the offsets have a known size: they are broadcast where they are
+    # small, and the rows are not shuffled once more.
+    offsets = stage(offsets.select(*[F.col(c).alias(n) for c, n in names.items()],
+                                   *[c for c in offsets.columns if c not in by]), "offsets")
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
     out = x.join(offsets, same).withColumn(POS, F.col("_off") + F.col("_rn"))
     return out.drop("_rn", "_off", "_bn", BKT, *names.values())

@@ -79,8 +79,10 @@ def build(candles: DataFrame, keys: Sequence[str], order: Sequence[str], unit: s
           block_rows: int = P.DEFAULT_BLOCK_ROWS) -> Built:
     """The whole table with its carries."""
     keys, order = list(keys), list(order)
-    x = with_rsi(windowed(candles, keys, order, True, block_rows), keys, "_delta", TRIM, block_rows, keep_means=True)
-    x = stage(x.withColumn(PART, part_of(order[0], unit)), "late-build")
+    x = with_rsi(windowed(candles, keys, order, True, block_rows), keys, "_delta", TRIM, block_rows, keep_means=True,
+                 spent=["_delta"])
+    # The scan of the means has written the rows: the tables are read from there.
+    x = x.withColumn(PART, part_of(order[0], unit))
     return _built(x.select(*candles.columns, PART), x, keys, order, unit)
 
 
@@ -140,7 +142,8 @@ def _replay(rows: DataFrame, parts: DataFrame, keys: list[str], order: list[str]
     x = with_prefix(with_cents(P.halo_blocks(x, ks, block_rows, back=MAX_LOOKBACK)), w)
     x = P.home_rows(add_feature_columns(x, w, delta="_delta"), block_rows).drop(CENTS, *PREFIX)
     start = F.when(F.col("_sg").isNotNull(), F.col("_from") - 1).otherwise(F.lit(TRIM))
-    x = with_rsi(x, ks, "_delta", start, block_rows, keep_means=True, seed_gain=F.col("_sg"), seed_loss=F.col("_sl"))
+    x = with_rsi(x, ks, "_delta", start, block_rows, keep_means=True, seed_gain=F.col("_sg"), seed_loss=F.col("_sl"),
+                 spent=["_delta"])
     return x.where(F.col(P.POS) >= F.col("_from")).drop("_base", "_from", "_sg", "_sl")
 
 
@@ -170,7 +173,7 @@ def repair(stored: DataFrame, carries: DataFrame, batch: DataFrame, keys: Sequen
     while True:
         parts = stage(plan_segments(carries, fresh, keys, horizon), "late-parts")
         rows = in_parts(stored, parts).select(*columns, PART).unionByName(fresh)
-        x = stage(_replay(rows, parts, keys, order, block_rows), "late-replay")
+        x = _replay(rows, parts, keys, order, block_rows)       # written by the scan of the means
         done = _built(fresh, x, keys, order, unit)
         if _unmet(parts, done.carries, keys).isEmpty():
             return done

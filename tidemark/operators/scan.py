@@ -181,7 +181,7 @@ def scan_rows(com: float, block_rows: int) -> int:
 
 
 def ewm(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
-        seed_pos, block_rows: int) -> DataFrame:
+        seed_pos, block_rows: int, spent: Sequence[str] = ()) -> DataFrame:
     """Exponential means of several columns at once.
 
     ``inputs`` maps output column -> input column. ``seed_pos`` (a Column or
@@ -190,7 +190,7 @@ def ewm(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
     A NULL input after the seed contributes 0 (``ewm_gaps`` keeps the mean over
     NULLs instead). ``com`` is any number from 0
     on: where a whole block would leave the double range, the block is scanned
-    in equal parts.
+    in equal parts. Columns in ``spent`` only feed the means and are not kept.
     """
     if com < 0:
         raise ValueError("com must be at least 0")
@@ -200,14 +200,14 @@ def ewm(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
     p = F.col(POS)
     if com == 0:                                          # no memory: the input itself
         same = {o: F.when(p >= seed, F.coalesce(F.col(c), F.lit(0.0))) for o, c in inputs.items()}
-        return df.withColumns(same)
+        return df.withColumns(same).drop(*spent)
     a = 1.0 / (1.0 + com)
     d = 1.0 - a
     part_rows = scan_rows(com, block_rows)
     if part_rows < block_rows:
         # Parts are numbered through the series like blocks of their own size.
         parts = df.withColumn("_whole", F.col(BLK)).withColumn(BLK, F.floor(p / part_rows).cast("bigint"))
-        done = ewm(parts, keys, inputs, com, seed, part_rows)
+        done = ewm(parts, keys, inputs, com, seed, part_rows, spent)
         return done.withColumn(BLK, F.col("_whole")).drop("_whole")
     off = p - F.col(BLK) * block_rows                     # 0 .. B-1
     weight = F.when(p == seed, F.lit(1.0)).when(p > seed, F.lit(a))
@@ -218,7 +218,7 @@ def ewm(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
     local = [(shrink * F.sum(F.coalesce(weight * F.col(c), F.lit(0.0)) * grow).over(w))
              .alias(f"_L_{o}") for o, c in inputs.items()]
     # The block-local scan feeds the block ends and the final rows: write it once.
-    x = stage(df.select("*", *local), "ewm")
+    x = stage(df.select("*", *local).drop(*spent), "ewm")
 
     m = carry_blocks(com, block_rows)
     ends = (x.groupBy(*keys, BLK)
@@ -230,7 +230,10 @@ def ewm(df: DataFrame, keys: Sequence[str], inputs: dict[str, str], com: float,
                    .agg(*[F.sum(F.col(f"_e._L_{o}") * decay).alias(f"_C_{o}") for o in inputs]))
     # Keys as a struct, in which NULLs are equal: a NULL key is a series too.
     key = F.struct(*[F.col(k) for k in keys], F.col(BLK)).alias("_key")
-    x = x.withColumn("_key", key).join(carry.select(key, *[f"_C_{o}" for o in inputs]), "_key", "left").drop("_key")
+    # Written, the carries have a known size: one row per block is broadcast
+    # where it is small, and the wide rows are not shuffled once more.
+    carry = stage(carry.select(key, *[f"_C_{o}" for o in inputs]), "ewm-carry")
+    x = x.withColumn("_key", key).join(carry, "_key", "left").drop("_key")
     into = F.pow(F.lit(d), off + 1)
     for o in inputs:
         y = F.col(f"_L_{o}") + into * F.coalesce(F.col(f"_C_{o}"), F.lit(0.0))

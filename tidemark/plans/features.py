@@ -52,14 +52,15 @@ def rsi_from_means(avg_gain, avg_loss, digits: int = 2):
 
 def with_rsi(x: DataFrame, keys: Sequence[str], delta: str, start, block_rows: int,
              out: str = "rsi_14", period: int = RSI_PERIOD, keep_means: bool = False,
-             seed_gain=None, seed_loss=None) -> DataFrame:
+             seed_gain=None, seed_loss=None, spent: Sequence[str] = ()) -> DataFrame:
     """RSI over home rows of a halo-block frame that carry ``delta``.
 
     ``start`` (int or Column) is the first position of the RSI's series; its
     delta does not count (the series has no earlier row), the next one seeds
     the means. With ``seed_gain``/``seed_loss`` (Columns, NULL where absent)
     the means instead start *at* ``start`` from those carried values.
-    ``keep_means`` keeps ``_avg_gain``/``_avg_loss`` for a state table.
+    ``keep_means`` keeps ``_avg_gain``/``_avg_loss`` for a state table. Columns
+    in ``spent`` are not needed after the means and not written with the rows.
     """
     gain, loss = gain_loss(F.col(delta))
     start_c = F.col(start) if isinstance(start, str) else (
@@ -73,9 +74,9 @@ def with_rsi(x: DataFrame, keys: Sequence[str], delta: str, start, block_rows: i
         seed = F.when(carried, start_c).otherwise(seed)
     x = x.withColumn("_gain", gain).withColumn("_loss", loss).withColumn("_seed", seed)
     x = ewm(x, keys, {"_avg_gain": "_gain", "_avg_loss": "_loss"}, com=period - 1,
-            seed_pos=F.col("_seed"), block_rows=block_rows)
+            seed_pos=F.col("_seed"), block_rows=block_rows, spent=["_gain", "_loss", *spent])
     x = x.withColumn(out, rsi_from_means(F.col("_avg_gain"), F.col("_avg_loss")))
-    drop = ["_gain", "_loss", "_seed"] + ([] if keep_means else ["_avg_gain", "_avg_loss"])
+    drop = ["_seed"] + ([] if keep_means else ["_avg_gain", "_avg_loss"])
     return x.drop(*drop)
 
 

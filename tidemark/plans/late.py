@@ -34,14 +34,15 @@ def _touched_partitions_only(spark: SparkSession) -> Iterator[None]:
 def replace_rows(table: str, rows: DataFrame, scope: DataFrame, keys: Sequence[str]) -> None:
     """In a table partitioned by ``row_part``: the rows of the (keys, part) in
     ``scope`` give way to ``rows``; only partitions in ``scope`` are read and
-    written."""
+    written. The kept rows of these partitions are written beside the table
+    first; ``rows`` must not read it."""
     spark = rows.sparkSession
     stored = spark.table(table)
     gone = scope.select(key_of([*keys, PART]).alias("_key")).distinct()
     kept = (in_parts(stored, scope).withColumn("_key", key_of([*keys, PART]))
             .join(gone, "_key", "left_anti").drop("_key"))
     # insertInto goes by position.
-    new = stage(kept.select(*stored.columns).unionByName(rows.select(*stored.columns)), "replaced")
+    new = stage(kept.select(*stored.columns), "kept").unionByName(rows.select(*stored.columns))
     with _touched_partitions_only(spark):
         new.hint("rebalance", PART).write.mode("overwrite").insertInto(table)
 
